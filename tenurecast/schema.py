@@ -133,7 +133,6 @@ SPARSE_SHARE = 0.5
 OUTLIER_SIGMAS = 3
 SEED = 42
 RETENTION_DAYS = 14
-TRIGGER_NAME = "TRIGGER_ATTRITION"
 
 
 def invert(groups: dict[str, list[str]]) -> dict[str, str]:
