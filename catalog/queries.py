@@ -361,8 +361,7 @@ def join_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lookup_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = feature_table(spark, sf_dir).select(*GRAIN, "TITLE_CATEGORY_YR_END")
-    titles = categories.lookup_table(spark, schema.TITLE_LOOKUP)
-    return categories.lookup_join(df, "TITLE_CATEGORY_YR_END", titles, "consolidated")
+    return categories.lookup_join(df, "TITLE_CATEGORY_YR_END", schema.TITLE_LOOKUP, "consolidated")
 
 
 # ---- aggregations ---------------------------------------------------------

@@ -14,14 +14,17 @@ def run_id(stamp: Column) -> Column:
     return F.date_format(stamp, "yyyy_MM_dd_HHmmss")
 
 
-def run_name(kind: str, calendar: str, stamp: Column) -> Column:
+# What comes before the time in the name of a run's file.
+PREFIXES = {
+    "predictions": "part_{calendar}_pred_",
+    "explanations": "part_visual_{calendar}_",
+    "log": "log_file_{calendar}_",
+}
+
+
+def run_file(kind: str, calendar: str, run: str) -> str:
     """Name of a run's output, for example ``part_gregorian_pred_2024_01_31_101500``."""
-    names = {
-        "predictions": f"part_{calendar}_pred_",
-        "explanations": f"part_visual_{calendar}_",
-        "log": f"log_file_{calendar}_",
-    }
-    return F.concat(F.lit(names[kind]), run_id(stamp))
+    return PREFIXES[kind].format(calendar=calendar) + run
 
 
 def parse_stamp(name: Column) -> Column:

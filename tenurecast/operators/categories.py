@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from itertools import chain
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema
 from ..schema import indicator, quoted
 
+MOST_BROADCAST = 10_000
+
 
 def mapped(column: str, lookup: dict[str, str]) -> Column:
     """Value of a fixed lookup; unknown and NULL keys give NULL."""
@@ -27,21 +29,18 @@ def consolidate(df: DataFrame) -> DataFrame:
     )
 
 
-def lookup_table(spark: SparkSession, lookup: dict[str, str]) -> DataFrame:
-    return spark.createDataFrame(list(lookup.items()), "raw string, mapped string")
-
+def lookup_join(df: DataFrame, column: str, lookup: dict[str, str], out: str) -> DataFrame:
+    """Left join to a lookup; unmatched rows get NULL.
 
-def lookup_join(df: DataFrame, column: str, table: DataFrame, out: str) -> DataFrame:
-    """Left join to a ``(raw, mapped)`` table; unmatched rows get NULL.
-
-    The join carries no hint: Spark broadcasts the table when its size is known
-    to be below the session's threshold and shuffles otherwise.
+    A lookup of at most ``MOST_BROADCAST`` entries goes to every executor, so a
+    value that fills a third of the rows is not shuffled to one task. A longer
+    one is left to Spark, which sees its size at run time and splits hot keys.
     """
-    return (
-        df.join(table, F.col(quoted(column)) == F.col("raw"), "left")
-        .drop("raw")
-        .withColumnRenamed("mapped", out)
-    )
+    table = df.sparkSession.createDataFrame(list(lookup.items()), "_raw string, _mapped string")
+    if len(lookup) <= MOST_BROADCAST:
+        table = F.broadcast(table)
+    joined = df.join(table, F.col(quoted(column)) == F.col("_raw"), "left")
+    return joined.drop("_raw").withColumnRenamed("_mapped", out)
 
 
 def indicators(levels: dict[str, list[str]]) -> list[str]:

@@ -52,9 +52,9 @@ def exact_test(
         return lead <= boundary
     # Some rows share the boundary's leading digits: order them by digest and key.
     tie_order = ["digest", *keys]
-    last = (
-        digests.filter(F.col("lead") == boundary).orderBy(*tie_order).limit(wanted).collect()[-1]
-    )
-    here = F.struct(digest, *[F.col(k) for k in keys])
-    there = F.struct(*[F.lit(last[c]) for c in tie_order])
+    tied = digests.filter(F.col("lead") == boundary).orderBy(*tie_order)
+    last = tied.offset(wanted - 1).first()
+    types = {f.name: f.dataType for f in digests.schema.fields}
+    here = F.struct(digest.alias("digest"), *keys)
+    there = F.struct(*[F.lit(last[c]).cast(types[c]).alias(c) for c in tie_order])
     return (lead < boundary) | ((lead == boundary) & (here <= there))

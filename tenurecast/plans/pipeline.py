@@ -9,14 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import schema
 from ..functions.jitter import with_jitter
+from ..functions.stamps import run_file
 from ..operators import categories, columns, explain, forest, metrics
 from ..operators.cohort import teaching_cohort
 from ..operators.split import exact_test, hash_test
 from ..schema import LABEL, PROBABILITY, Calendar, quoted
-from ..session import staged
+from ..session import released, staged
 from ..sources import writers
 from . import prep
-from .runs import RunLog
+from .runs import RunLog, drop_expired, reset_row, should_run
 
 PREDICTION = "prediction"
 
@@ -32,6 +33,7 @@ class Settings:
     impute: str = "mean"  # or "chained"
     cohort: bool = False
     jitter: bool = False
+    delimited: bool = False  # also write tab-separated files named after the run
     numeric: list[str] | None = None
 
 
@@ -148,24 +150,58 @@ def run(
     run_id = as_of.strftime("%Y_%m_%d_%H%M%S")
     log = RunLog(calendar.name, run_id)
     log.add("start", f"run {run_id} for {calendar.name}")
-    if df.isEmpty():
-        log.add("load", "no input rows, skipped", "rows", 0)
+    with released(spark):
+        df = staged(df, "input")
+        rows = df.count()
+        if rows == 0:
+            log.add("load", "no input rows, skipped", "rows", 0)
+            log.save(spark, f"{out}/log")
+            return None
+        log.add("load", "rows loaded", "rows", rows)
+        if trained is None:
+            source = df if training is None else staged(training, "training")
+            trained = train(source, calendar, settings, log)
+            trained.save(spark, f"{out}/trained/{calendar.name}")
+        explained = staged(explain_rows(df, trained), "explained")
+        scored = (
+            predict(df, trained, jitter=True)
+            if settings.jitter
+            else explained.select(*calendar.grain, PROBABILITY)
+        )
+        for kind, result in (("predictions", scored), ("explanations", explained)):
+            writers.write_run(result, f"{out}/{kind}_{calendar.name}", calendar.name, run_id)
+            if settings.delimited:
+                name = run_file(kind, calendar.name, run_id)
+                writers.write_delimited(result, f"{out}/files/{name}")
+            log.add("publish", f"{kind} published")
         log.save(spark, f"{out}/log")
-        return None
-    df = staged(df, "input")
-    log.add("load", "rows loaded", "rows", df.count())
-    if trained is None:
-        trained = train(df if training is None else staged(training, "training"), calendar,
-                        settings, log)
-        trained.save(spark, f"{out}/trained/{calendar.name}")
-    writers.write_run(
-        predict(df, trained, settings.jitter), f"{out}/predictions_{calendar.name}",
-        calendar.name, run_id,
-    )
-    log.add("predict", "scores published")
-    writers.write_run(
-        explain_rows(df, trained), f"{out}/explanations_{calendar.name}", calendar.name, run_id
-    )
-    log.add("explain", "explanations published")
-    log.save(spark, f"{out}/log")
     return trained
+
+
+def run_all(
+    spark: SparkSession,
+    inputs: dict[str, DataFrame],
+    control_path: str,
+    flag: str,
+    out: str,
+    as_of: datetime,
+    settings: Settings | None = None,
+    remote: bool = False,
+) -> list[str]:
+    """The scheduled job: gate, every calendar, retention, flag reset.
+
+    Returns the calendars that were published; none if the gate is closed.
+    """
+    if not should_run(spark.read.parquet(control_path), flag, remote=remote):
+        return []
+    done = []
+    for name, df in inputs.items():
+        if run(spark, df, schema.calendar(name), out, as_of, settings) is not None:
+            done.append(name)
+            for kind in ("predictions", "explanations"):
+                drop_expired(spark, f"{out}/{kind}_{name}", as_of)
+    drop_expired(spark, f"{out}/log", as_of)
+    with released(spark):
+        control = spark.read.parquet(control_path)
+        writers.overwrite(writers.upsert(control, reset_row(spark, flag), "NAME"), control_path)
+    return done

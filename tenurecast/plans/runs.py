@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import schema
 from ..functions.stamps import expired, parse_stamp
+from ..session import delete_folder
 from ..sources.writers import RUN_KEYS
 
 
@@ -112,9 +113,6 @@ def drop_expired(
         .orderBy(*RUN_KEYS)
         .collect()
     )
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for r in due:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/calendar={r['calendar']}/run_id={r['run_id']}")
-        folder.getFileSystem(conf).delete(folder, True)
+        delete_folder(spark, f"{path}/calendar={r['calendar']}/run_id={r['run_id']}")
     return [(r["calendar"], r["run_id"]) for r in due]

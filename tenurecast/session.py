@@ -6,6 +6,8 @@ import atexit
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,18 +37,31 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session without the setting falls back to a temporary folder.
     """
-    folder = spark.conf.get(_CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(_CHECKPOINT_DIR)
+    context = spark.sparkContext
+    folder = spark.conf.get(_CHECKPOINT_DIR, None) or context.getConf().get(_CHECKPOINT_DIR)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder all executors can reach")
-        folder = os.path.join(tempfile.gettempdir(), "tenurecast-" + spark.sparkContext.applicationId)
-        spark.conf.set(_CHECKPOINT_DIR, folder)
-    return f"{folder.rstrip('/')}/tenurecast/{spark.sparkContext.applicationId}"
+        folder = os.path.join(tempfile.gettempdir(), "tenurecast")
+    return f"{folder.rstrip('/')}/tenurecast-{context.applicationId}"
+
+
+def checkpoint_ready(spark: SparkSession) -> None:
+    """Give iterative fits a checkpoint folder if the cluster set none."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(f"{shared_folder(spark)}/checkpoints")
+
+
+_paths: list[str] = []
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{_cleaned_at_exit(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh path below the shared folder; what is left is deleted at exit."""
+    if not _paths:
+        atexit.register(_release_all, spark)
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    _paths.append(path)
+    return path
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -61,21 +76,25 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-_registered: set[str] = set()
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables made inside the block when it ends."""
+    before = len(_paths)
+    try:
+        yield
+    finally:
+        for path in _paths[before:]:
+            delete_folder(spark, path)
+        del _paths[before:]
 
 
-def _cleaned_at_exit(spark: SparkSession) -> str:
-    folder = shared_folder(spark)
-    if folder not in _registered:
-        _registered.add(folder)
-        atexit.register(_delete, spark, folder)
-    return folder
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
+def _release_all(spark: SparkSession) -> None:
     try:
-        jvm = spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        delete_folder(spark, shared_folder(spark))
     except Exception:  # the session may already be gone; the folder is only scratch
         pass

@@ -1,4 +1,4 @@
-"""Compare registered queries with their SQL: ``check_oracles.py SF_DIR [name ...]``."""
+"""Compare registered queries with their SQL: ``oracle_check.py SF_DIR [name ...]``."""
 
 from __future__ import annotations
 
