@@ -62,9 +62,7 @@ def measures(df: DataFrame, calendar: Calendar = GREGORIAN) -> list[str]:
 
 def rounded(df: DataFrame, names: list[str], places: int) -> list[Column]:
     """Rounded values; adding zero turns a negative zero into zero."""
-    return [
-        (F.round(F.col(quoted(c)).cast("double"), places) + F.lit(0.0)).alias(c) for c in names
-    ]
+    return [F.expr(f"round(double({quoted(c)}), {places}) + 0D as {quoted(c)}") for c in names]
 
 
 def named(names: list[str]) -> list[str]:

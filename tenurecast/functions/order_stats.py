@@ -15,7 +15,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import quoted
+from ..schema import number, quoted
 
 ACCURACY = 10_000
 FETCH_LIMIT = 20_000
@@ -35,21 +35,13 @@ def _value(column: str) -> str:
     return f"double({quoted(column)})"
 
 
-def _literal(value: float) -> str:
-    return f"double('{value!r}')"
-
-
 def _within(s: _Search) -> str:
-    """Condition for rows strictly inside the interval.
-
-    Conditions are SQL text: hundreds of small expressions are built here and
-    one parsed string each is far cheaper than a tree of column calls.
-    """
+    """Condition for rows strictly inside the interval."""
     parts = [f"{quoted(s.column)} is not null"]
     if s.low is not None:
-        parts.append(f"{_value(s.column)} > {_literal(s.low)}")
+        parts.append(f"{_value(s.column)} > {number(s.low)}")
     if s.high is not None:
-        parts.append(f"{_value(s.column)} < {_literal(s.high)}")
+        parts.append(f"{_value(s.column)} < {number(s.high)}")
     return " and ".join(parts)
 
 
@@ -77,7 +69,7 @@ def _propose(df: DataFrame, searches: list[_Search], accuracy: int) -> list[tupl
     exprs = [
         F.expr(
             f"percentile_approx(case when {_within(first[key])} then {_value(key[0])} end, "
-            f"array({', '.join(map(_literal, known))}), {accuracy}) as s{i}"
+            f"array({', '.join(map(number, known))}), {accuracy}) as s{i}"
         )
         for i, (key, known) in enumerate(shares.items())
     ]
@@ -96,7 +88,7 @@ def _narrow(
             for test in ("<", "<="):
                 key = (*_interval(s), test, bound)
                 if key not in exprs:
-                    exprs[key] = f"{_within(s)} and {_value(s.column)} {test} {_literal(bound)}"
+                    exprs[key] = f"{_within(s)} and {_value(s.column)} {test} {number(bound)}"
     row = df.agg(*[F.expr(f"count_if({e}) as c{i}") for i, e in enumerate(exprs.values())]).first()
     counted = {key: row[f"c{i}"] for i, key in enumerate(exprs)}
     found, pending = {}, []

@@ -54,7 +54,7 @@ def one_hot(df: DataFrame, levels: dict[str, list[str]]) -> DataFrame:
     still gets its column, which keeps scoring aligned with training.
     """
     new = {
-        indicator(f, level): F.coalesce((F.col(quoted(f)) == level).cast("int"), F.lit(0))
+        indicator(f, level): F.coalesce((F.col(f) == level).cast("int"), F.lit(0))
         for f, values in levels.items()
         for level in values
     }

@@ -24,14 +24,15 @@ def cast_by_name(df: DataFrame, strict: bool = True) -> DataFrame:
     """
     exprs = []
     for field in df.schema.fields:
-        column, target = F.col(quoted(field.name)), target_type(field.name)
-        if isinstance(field.dataType, (T.DoubleType, T.FloatType)) and target != "string":
-            column = nan_to_null(column)
-        cast = column.cast(target) if strict else column.try_cast(target)
+        column, target = quoted(field.name), target_type(field.name)
+        fractional = isinstance(field.dataType, (T.DoubleType, T.FloatType))
+        if fractional and target != "string":
+            column = f"nullif({column}, double('NaN'))"
+        cast = f"{'cast' if strict else 'try_cast'}({column} as {target})"
         if isinstance(field.dataType, T.StringType) and target == "double":
-            cast = nan_to_null(cast)
-        exprs.append(cast.alias(field.name))
-    return df.select(*exprs)
+            cast = f"nullif({cast}, double('NaN'))"
+        exprs.append(f"{cast} as {quoted(field.name)}")
+    return df.selectExpr(*exprs)
 
 
 def nan_to_null(column: Column) -> Column:
@@ -84,7 +85,9 @@ def add_differences(df: DataFrame) -> DataFrame:
 def round_features(df: DataFrame, columns: list[str], places: int = 3) -> DataFrame:
     """Round half to even at ``places`` decimals."""
     factor = float(10**places)
-    return df.withColumns({c: F.rint(F.col(quoted(c)) * factor) / factor for c in columns})
+    return df.withColumns(
+        {c: F.expr(f"rint({quoted(c)} * {factor}D) / {factor}D") for c in columns}
+    )
 
 
 def check_grain(df: DataFrame, calendar: Calendar) -> None:

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import quoted
+from ..schema import number, quoted
 
 # Round limit and stopping tolerance.
 MAX_ROUNDS = 10
@@ -70,19 +70,22 @@ class ChainedImputer:
         for fitted in self.rounds:
             out = out.withColumns(
                 {
-                    t: F.when(F.col(known[t]), F.col(quoted(t))).otherwise(
-                        self._predict(t, intercept, weights)
+                    t: F.expr(
+                        f"case when {known[t]} then {quoted(t)} "
+                        f"else {self._predict(t, intercept, weights)} end"
                     )
                     for t, (intercept, weights) in fitted.items()
                 }
             )
         return out.drop(*known.values())
 
-    def _predict(self, target: str, intercept: float, weights: list[float]):
-        total = F.lit(intercept)
-        for c, w in zip([c for c in self.columns if c != target], weights):
-            total = total + (F.col(quoted(c)) - F.lit(self.centers[c])) / F.lit(self.spreads[c]) * F.lit(w)
-        return total
+    def _predict(self, target: str, intercept: float, weights: list[float]) -> str:
+        others = [c for c in self.columns if c != target]
+        terms = [
+            f"({quoted(c)} - {number(self.centers[c])}) * {number(w / self.spreads[c])}"
+            for c, w in zip(others, weights)
+        ]
+        return " + ".join([number(intercept), *terms])
 
     def save(self, spark: SparkSession, path: str) -> None:
         rows = [
@@ -181,9 +184,9 @@ def fit_chained(
     position = {c: i for i, c in enumerate(columns)}
     for _ in range(max_rounds):
         marked = df.select(*[quoted(c) for c in columns], *flags)
-        filled = imputer.apply(marked).select(
+        filled = imputer.apply(marked).selectExpr(
             *[
-                ((F.col(quoted(c)) - F.lit(imputer.centers[c])) / F.lit(spreads[c])).alias(z)
+                f"({quoted(c)} - {number(imputer.centers[c])}) / {number(spreads[c])} as {z}"
                 for c, z in zip(columns, scaled)
             ],
             *known,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import schema
 from ..functions.order_stats import exact_quantiles
-from ..schema import quoted
+from ..schema import number, quoted
 from .profile import ColumnStats, collect_profile
 
 
@@ -52,7 +52,13 @@ def replace_outliers(df: DataFrame, fences: dict[str, Fence]) -> DataFrame:
     """
     new = {}
     for c, fence in fences.items():
-        value = F.col(quoted(c)).cast("double")
-        upper = F.when(value >= fence.high, F.lit(fence.upper_quartile)).otherwise(value)
-        new[c] = F.when(upper <= fence.low, F.lit(fence.lower_quartile)).otherwise(upper)
+        value = f"double({quoted(c)})"
+        upper = (
+            f"case when {value} >= {number(fence.high)} then {number(fence.upper_quartile)} "
+            f"else {value} end"
+        )
+        new[c] = F.expr(
+            f"case when {upper} <= {number(fence.low)} then {number(fence.lower_quartile)} "
+            f"else {upper} end"
+        )
     return df.withColumns(new) if new else df

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import quoted
+from ..schema import number, quoted
 from .profile import collect_profile
 
 
@@ -35,7 +35,7 @@ def fit_scales(train: DataFrame, columns: list[str]) -> dict[str, Scale]:
 
 def fill_with_mean(df: DataFrame, scales: dict[str, Scale]) -> DataFrame:
     return df.withColumns(
-        {c: F.coalesce(F.col(quoted(c)).cast("double"), F.lit(s.mean)) for c, s in scales.items()}
+        {c: F.expr(f"coalesce(double({quoted(c)}), {number(s.mean)})") for c, s in scales.items()}
     )
 
 
@@ -43,7 +43,10 @@ def standardize(df: DataFrame, scales: dict[str, Scale]) -> DataFrame:
     """Centre and scale; a constant column becomes 0 where it is present."""
     return df.withColumns(
         {
-            c: (F.col(quoted(c)) - F.lit(s.mean)) / F.lit(s.deviation if s.deviation > 0 else 1.0)
+            c: F.expr(
+                f"({quoted(c)} - {number(s.mean)}) "
+                f"/ {number(s.deviation if s.deviation > 0 else 1.0)}"
+            )
             for c, s in scales.items()
         }
     )

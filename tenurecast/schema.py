@@ -180,3 +180,12 @@ def indicator(feature: str, level: str) -> str:
 def quoted(name: str) -> str:
     """Column reference safe for names with spaces, ``&`` and ``/``."""
     return "`" + name.replace("`", "``") + "`"
+
+
+def number(value: float) -> str:
+    """SQL text of a double, exact to the last bit.
+
+    Wide projections are written as SQL text: one parsed string per column is
+    far cheaper to build than a tree of column calls.
+    """
+    return f"double('{float(value)!r}')"

@@ -24,6 +24,7 @@ def local_session(cores: str | int = 8, app: str = "tenurecast", **conf: str) ->
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.driver.memory", "16g")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

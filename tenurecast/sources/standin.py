@@ -12,9 +12,7 @@ bit masks, so the orders aggregate needs no row expansion.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schema import GREGORIAN, INDUSTRY_LOOKUP, TITLE_LOOKUP, Calendar
@@ -26,6 +24,7 @@ BUSINESSES = 600
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 STATUSES = ["F", "O", "P"]
+MONTHS = range(1, 13)
 
 # Day and order key packed in one long, so "last order of the year" is a plain
 # max over a primitive and the aggregate stays a hash aggregate.
@@ -36,120 +35,97 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _cents(column: str) -> Column:
-    return F.rint(F.col(column) * 100).cast("long")
+def _cents(column: str) -> str:
+    return f"bigint(rint({column} * 100))"
 
 
-def _bit_per_value(column: str, values: list[str]) -> Column:
-    masks = [F.when(F.col(column) == v, F.lit(1 << i)) for i, v in enumerate(values)]
-    return F.bit_count(F.bit_or(F.coalesce(*masks, F.lit(0))))
+def _bit_per_value(column: str, values: list[str]) -> str:
+    cases = " ".join(f"when '{v}' then {1 << i}" for i, v in enumerate(values))
+    return f"bit_count(bit_or(case {column} {cases} else 0 end))"
 
 
 def _dated_orders(spark: SparkSession, sf_dir: str, calendar: Calendar) -> DataFrame:
-    day = F.col("o_orderdate").cast("date")
-    shifted = F.add_months(day, calendar.shift_months) if calendar.shift_months else day
-    return table(spark, sf_dir, "orders").select(
+    shifted = f"add_months(date(o_orderdate), {calendar.shift_months})"
+    return table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey",
         "o_custkey",
         "o_orderstatus",
         "o_orderpriority",
-        day.alias("day"),
-        F.year(shifted).alias("y"),
-        F.month(shifted).alias("mo"),
-        _cents("o_totalprice").alias("cents"),
+        "unix_date(date(o_orderdate)) as day",
+        f"year({shifted}) as y",
+        f"month({shifted}) as mo",
+        f"{_cents('o_totalprice')} as cents",
     )
 
 
 def _order_side(orders: DataFrame) -> DataFrame:
-    months = [f"m{m}" for m in range(1, 13)]
-    per_month = [
-        F.sum(F.when(F.col("mo") == m, 1).otherwise(0)).alias(f"m{m}") for m in range(1, 13)
-    ]
-    used = [F.when(F.col(m) > 0, F.col(m)) for m in months]
-    paid = F.col("o_orderstatus") != "P"
+    aggregates = {f"m{m}": f"count_if(mo = {m})" for m in MONTHS} | {
+        "last": f"max(bigint(day) * {1 << _KEY_BITS} + o_orderkey)",
+        "first_day": "min(day)",
+        "sum_cents": "sum(cents)",
+        "max_cents": "max(cents)",
+        "min_cents": "min(cents)",
+        "paid_cents": "sum(case when o_orderstatus != 'P' then cents end)",
+        "paid_orders": "count_if(o_orderstatus != 'P')",
+        "last_quota": "max(case when o_orderstatus != 'F' then mo end)",
+        "payee_cents": "max(case when o_orderpriority = '1-URGENT' and o_orderstatus = 'F' "
+        "then cents end)",
+        "n_priority": _bit_per_value("o_orderpriority", PRIORITIES),
+        "n_status": _bit_per_value("o_orderstatus", STATUSES),
+    }
     grouped = orders.groupBy("o_custkey", "y").agg(
-        *per_month,
-        F.max(F.unix_date("day") * F.lit(1 << _KEY_BITS) + F.col("o_orderkey")).alias("last"),
-        F.min(F.unix_date("day")).alias("first_day"),
-        F.sum("cents").alias("sum_cents"),
-        F.max("cents").alias("max_cents"),
-        F.min("cents").alias("min_cents"),
-        F.sum(F.when(paid, F.col("cents"))).alias("paid_cents"),
-        F.count(F.when(paid, 1)).alias("paid_orders"),
-        F.max(F.when(F.col("o_orderstatus") != "F", F.col("mo"))).alias("last_quota"),
-        F.max(
-            F.when(
-                (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "F"),
-                F.col("cents"),
-            )
-        ).alias("payee_cents"),
-        _bit_per_value("o_orderpriority", PRIORITIES).alias("n_priority"),
-        _bit_per_value("o_orderstatus", STATUSES).alias("n_status"),
+        *[F.expr(f"{e} as {name}") for name, e in aggregates.items()]
     )
-    return grouped.select(
+    used = ", ".join(f"nullif(m{m}, 0)" for m in MONTHS)
+    numbered = [f"case when m{m} > 0 then {m} end" for m in MONTHS]
+    return grouped.selectExpr(
         "o_custkey",
         "y",
         "first_day",
-        "last",
-        F.date_from_unix_date(F.shiftright("last", _KEY_BITS).cast("int")).alias("last_day"),
-        (F.col("last").bitwiseAND(F.lit((1 << _KEY_BITS) - 1))).alias("last_key"),
-        (F.col("sum_cents") / 100).alias("total"),
-        F.coalesce(*[F.when(F.col(m) > 0, F.lit(i + 1)) for i, m in enumerate(months)]).alias("mo_min"),
-        F.coalesce(
-            *[F.when(F.col(m) > 0, F.lit(i + 1)) for i, m in reversed(list(enumerate(months)))]
-        ).alias("mo_max"),
-        reduce(lambda a, b: a + b, [(F.col(m) > 0).cast("long") for m in months]).alias("mo_used"),
-        F.greatest(*used).alias("busiest"),
-        F.least(*used).alias("quietest"),
-        (F.col("max_cents") / 100).alias("max_total"),
-        (F.col("min_cents") / 100).alias("min_total"),
-        (F.col("paid_cents") / 100 / F.nullif("paid_orders", F.lit(0))).alias("paid_avg"),
+        f"date_from_unix_date(int(shiftright(last, {_KEY_BITS}))) as last_day",
+        f"last & {(1 << _KEY_BITS) - 1} as last_key",
+        "sum_cents / 100 as total",
+        f"coalesce({', '.join(numbered)}) as mo_min",
+        f"coalesce({', '.join(reversed(numbered))}) as mo_max",
+        " + ".join(f"bigint(m{m} > 0)" for m in MONTHS) + " as mo_used",
+        f"greatest({used}) as busiest",
+        f"least({used}) as quietest",
+        "max_cents / 100 as max_total",
+        "min_cents / 100 as min_total",
+        "paid_cents / 100 / nullif(paid_orders, 0) as paid_avg",
         "last_quota",
-        (F.col("payee_cents") / 100).alias("payee"),
+        "payee_cents / 100 as payee",
         "n_priority",
         "n_status",
     )
 
 
 def _line_side(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
-    returned = F.col("l_returnflag") == "R"
-    lines = table(spark, sf_dir, "lineitem").select(
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey",
         "l_suppkey",
-        _cents("l_extendedprice").alias("line_cents"),
-        F.when(returned, _cents("l_extendedprice")).alias("returned_cents"),
+        f"{_cents('l_extendedprice')} as line_cents",
+        f"case when l_returnflag = 'R' then {_cents('l_extendedprice')} end as returned_cents",
     )
     joined = lines.join(
-        orders.select("o_orderkey", "o_custkey", "y"), F.col("l_orderkey") == F.col("o_orderkey")
+        orders.select("o_orderkey", "o_custkey", "y"), F.expr("l_orderkey = o_orderkey")
     )
-    return (
-        joined.groupBy("o_custkey", "y")
-        .agg(
-            F.sum("line_cents").alias("line_sum"),
-            F.sum("returned_cents").alias("returned_sum"),
-            F.min("returned_cents").alias("returned_min"),
-            F.count_distinct("l_suppkey").alias("n_supplier"),
-        )
-        .select(
-            "o_custkey",
-            "y",
-            (F.col("line_sum") / 100).alias("paid"),
-            (F.col("returned_sum") / 100).alias("credit"),
-            (F.col("returned_min") / 100).alias("credit_min"),
-            "n_supplier",
-        )
+    return joined.groupBy("o_custkey", "y").agg(
+        F.expr("sum(line_cents) / 100 as paid"),
+        F.expr("sum(returned_cents) / 100 as credit"),
+        F.expr("min(returned_cents) / 100 as credit_min"),
+        F.expr("count(distinct l_suppkey) as n_supplier"),
     )
 
 
-def _pick(values: list[str], key: str) -> Column:
+def _pick(values: list[str], key: str) -> str:
     """Element of a fixed list chosen by a key."""
-    return F.element_at(
-        F.array(*[F.lit(v) for v in values]), (F.col(key) % len(values)).cast("int") + 1
-    )
+    listed = ", ".join("'" + v.replace("'", "\\'") + "'" for v in values)
+    return f"element_at(array({listed}), int({key} % {len(values)}) + 1)"
 
 
-def _yyyymmdd(day: Column) -> Column:
-    return (F.year(day) * 10000 + F.month(day) * 100 + F.day(day)).cast("long")
+def _yyyymmdd(day: str) -> str:
+    return f"bigint(year({day}) * 10000 + month({day}) * 100 + day({day}))"
 
 
 def feature_table(spark: SparkSession, sf_dir: str, calendar: Calendar = GREGORIAN) -> DataFrame:
@@ -164,50 +140,49 @@ def feature_table(spark: SparkSession, sf_dir: str, calendar: Calendar = GREGORI
     labelled = per_year.select(
         "*",
         F.first("first_day").over(history).alias("hired"),
-        F.when(F.lead("y").over(history) == F.col("y") + 1, 0).otherwise(1).alias("leaves"),
+        F.lead("y").over(history).alias("next_y"),
     ).filter(F.col("y") < last_year)
 
     homes = (
         table(spark, sf_dir, "nation")
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .join(table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey"))
         .select("n_nationkey", "n_name", "r_name")
     )
     people = (
         table(spark, sf_dir, "customer")
-        .join(homes, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        .join(homes, F.expr("c_nationkey = n_nationkey"), "left")
         .select("c_custkey", "c_acctbal", "n_name", "r_name")
     )
-    rows = labelled.join(people, F.col("o_custkey") == F.col("c_custkey"))
-    balance = F.col("c_acctbal")
-    hired = F.date_from_unix_date("hired")
-    return rows.select(
-        (F.col("o_custkey") % BUSINESSES).alias("BUSINESS_ID"),
-        F.col("y").cast("int").alias(calendar.year),
-        _yyyymmdd(F.col("last_day")).alias("TERM_AS_OF_DATE"),
-        F.col("o_custkey").alias("MASTER_PARTICIPANT_ID"),
-        F.col("n_name").alias("HOME_COUNTRY_CODE"),
-        F.col("r_name").alias("HOME_STATE_PROVINCE"),
-        _yyyymmdd(hired).alias("HIRE_AS_OF_DATE"),
-        _pick(RAW_TITLES, "last_key").alias("TITLE_CATEGORY_YR_END"),
-        _pick(RAW_INDUSTRIES, "o_custkey").alias("INDUSTRY"),
-        F.when(balance < 0, "Private").when(balance >= 500, "Public").alias("OWNERSHIP"),
-        F.col("total").alias("PR_TARGET_USD"),
-        balance.alias("SALARY_USD"),
-        (13 - F.col("mo_min")).cast("double").alias("COUNT_MONTH_EMPLOYED_TIL_DEC"),
-        F.col("mo_used").alias("COUNT_MONTHS_GOT_PAYMENT"),
-        (12 - F.col("mo_max")).cast("double").alias("LAST_PAYMENT_UNTIL_YR_END"),
-        F.col("paid").alias("YEAR_PAYMENT"),
-        F.col("n_priority").cast("double").alias("COUNT_UNIQ_QUOTA"),
-        F.col("paid_avg").alias("COUNT_AVG_MONTH_PAID_QUOTA"),
-        F.col("last_quota").cast("double").alias("LAST_QUOTA_PAID_UNTIL_YR_END"),
-        F.col("credit").alias("SUM_CREDIT_AMT_USD"),
-        F.col("credit_min").alias("MIN_CREDIT_AMT_USD"),
-        F.col("max_total").alias("MAX_QUOTA_AMT_USD"),
-        F.col("min_total").alias("MIN_QUOTA_AMT_USD"),
-        F.col("busiest").cast("double").alias("COUNT_MAX_MONTH_ORDER"),
-        F.col("quietest").cast("double").alias("COUNT_MIN_MONTH_ORDER"),
-        F.col("n_status").cast("long").alias("COUNT_UNIQ_TITLE_NAME"),
-        F.coalesce(F.col("n_supplier"), F.lit(0)).alias("COUNT_UNIQ_MGR_ID"),
-        F.col("payee").alias("COMP_AVG_MONTH_PAYEECOUNT"),
-        F.col("leaves").cast("int").alias("TERM_NEXT_YEAR"),
-    )
+    rows = labelled.join(people, F.expr("o_custkey = c_custkey"))
+    definitions = {
+        "BUSINESS_ID": f"o_custkey % {BUSINESSES}",
+        calendar.year: "int(y)",
+        "TERM_AS_OF_DATE": _yyyymmdd("last_day"),
+        "MASTER_PARTICIPANT_ID": "o_custkey",
+        "HOME_COUNTRY_CODE": "n_name",
+        "HOME_STATE_PROVINCE": "r_name",
+        "HIRE_AS_OF_DATE": _yyyymmdd("date_from_unix_date(hired)"),
+        "TITLE_CATEGORY_YR_END": _pick(RAW_TITLES, "last_key"),
+        "INDUSTRY": _pick(RAW_INDUSTRIES, "o_custkey"),
+        "OWNERSHIP": "case when c_acctbal < 0 then 'Private' when c_acctbal >= 500 then 'Public' end",
+        "PR_TARGET_USD": "total",
+        "SALARY_USD": "c_acctbal",
+        "COUNT_MONTH_EMPLOYED_TIL_DEC": "double(13 - mo_min)",
+        "COUNT_MONTHS_GOT_PAYMENT": "mo_used",
+        "LAST_PAYMENT_UNTIL_YR_END": "double(12 - mo_max)",
+        "YEAR_PAYMENT": "paid",
+        "COUNT_UNIQ_QUOTA": "double(n_priority)",
+        "COUNT_AVG_MONTH_PAID_QUOTA": "paid_avg",
+        "LAST_QUOTA_PAID_UNTIL_YR_END": "double(last_quota)",
+        "SUM_CREDIT_AMT_USD": "credit",
+        "MIN_CREDIT_AMT_USD": "credit_min",
+        "MAX_QUOTA_AMT_USD": "max_total",
+        "MIN_QUOTA_AMT_USD": "min_total",
+        "COUNT_MAX_MONTH_ORDER": "double(busiest)",
+        "COUNT_MIN_MONTH_ORDER": "double(quietest)",
+        "COUNT_UNIQ_TITLE_NAME": "bigint(n_status)",
+        "COUNT_UNIQ_MGR_ID": "coalesce(n_supplier, 0)",
+        "COMP_AVG_MONTH_PAYEECOUNT": "payee",
+        "TERM_NEXT_YEAR": "int(coalesce(next_y != y + 1, true))",
+    }
+    return rows.selectExpr(*[f"{e} as {name}" for name, e in definitions.items()])
