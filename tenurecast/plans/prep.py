@@ -129,6 +129,12 @@ def inputs_of(features: list[str]) -> list[str]:
     return found
 
 
+def score_only_features(calendar: Calendar) -> list[str]:
+    """Numeric features of the score-only layout, to go with ``layout="fixed"``."""
+    extra = [schema.PAYEE_COUNT] if calendar is schema.GREGORIAN else []
+    return [*schema.NUMERIC_FEATURES, *extra]
+
+
 def choose_indicators(levels: dict[str, list[str]], layout: str) -> list[str]:
     """Indicator columns of a layout.
 

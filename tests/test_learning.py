@@ -121,6 +121,37 @@ def test_contributions(rows, state, model, group):
         assert np.allclose(credit, r[state.features].to_numpy(dtype=float), atol=1e-12)
 
 
+def test_score_only_layout_hides_the_payee_count(features):
+    """With enough payee counts, their contribution is reported under OTHER."""
+    filled = features.withColumn(
+        schema.PAYEE_COUNT, F.coalesce(schema.PAYEE_COUNT, F.col("YEAR_PAYMENT") / 7)
+    )
+    numeric = prep.score_only_features(GREGORIAN)
+    assert schema.PAYEE_COUNT in numeric and schema.PAYEE_COUNT not in prep.score_only_features(FISCAL)
+    state = prep.fit(filled, GREGORIAN, numeric, layout="fixed")
+    rows = staged(prep.apply(filled, state), "prepared")
+    model = forest.fit_forest(rows, state.features, GREGORIAN, **QUICK)
+    trained = pipeline.Trained(state, model, {})
+    frame = pipeline.explain_rows(filled, trained).toPandas()
+    parts = [c for c in frame.columns if c not in (*GREGORIAN.grain, PROBABILITY)]
+    assert explain.OTHER in parts and schema.PAYEE_COUNT not in parts
+    assert not [c for c in parts if c in state.indicators]
+    assert np.allclose(frame[parts].sum(axis=1), frame[PROBABILITY], atol=1e-12)
+
+
+def test_wide_forest_settings(rows, state):
+    small = {**forest.WIDE_FOREST, "numTrees": 6, "maxDepth": 6}
+    model = forest.fit_forest(rows, state.features, GREGORIAN, **small)
+    assert model.getNumTrees == 6 and model.getFeatureSubsetStrategy() == "log2"
+
+
+def test_partitions_follow_the_rows():
+    assert forest.partitions_for(7_000, 200) == 8
+    assert forest.partitions_for(7_000, 4) == 4
+    assert forest.partitions_for(5_000_000, 200) == 100
+    assert forest.partitions_for(10**10, 200) == 5_000
+
+
 def test_published_explanations_add_up(rows, state, model):
     table = explain.explain(rows, model, state.features, state.levels, GREGORIAN)
     assert not [c for c in table.columns if c in state.indicators]
