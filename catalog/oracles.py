@@ -257,7 +257,8 @@ def oracle_sql() -> dict[str, str]:
     g = "gregorian"
     every = f"{keys(g)}, {', '.join(DESCRIPTION + CATEGORIES + MEASURES)}, TERM_NEXT_YEAR"
     every_fiscal = every.replace("CAL_YEAR", "FISCAL_YEAR")
-    rounded = ", ".join(f"round(CAST({c} AS DOUBLE), 4) AS {c}" for c in MEASURES)
+    rounded = ", ".join(f"round(CAST({c} AS DOUBLE), 6) + 0.0 AS {c}" for c in MEASURES)
+    doubles = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in MEASURES)
     features_out = ", ".join([*FEATURES, *indicator_names(), "TERM_NEXT_YEAR"])
     kept = [c for c in MEASURES if c != "COMP_AVG_MONTH_PAYEECOUNT"]
     profile = " UNION ALL ".join(
@@ -412,7 +413,7 @@ FROM flags CROSS JOIN (VALUES (false), (true)) r(remote)""",
             "TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 14 DAY, false) AS expired FROM stamped",
         ),
         "join_blocks": query(
-            mapped(g), f"SELECT {grain(g)}, {rounded}, {indicator_columns()} FROM mapped"
+            mapped(g), f"SELECT {grain(g)}, {doubles}, {indicator_columns()} FROM mapped"
         ),
         "lookup_broadcast": query(
             f"{features(g)}, titles(raw, new) AS (VALUES {pairs(schema.TITLE_LOOKUP)})",
@@ -502,7 +503,9 @@ FROM flags CROSS JOIN (VALUES (false), (true)) r(remote)""",
             f"means AS (SELECT {', '.join(f'avg({c}) AS a_{c}' for c in FEATURES)} FROM split "
             f"WHERE NOT is_test)",
             f"SELECT {grain(g)}, "
-            + ", ".join(f"round(coalesce(CAST({c} AS DOUBLE), a_{c}), 3) AS {c}" for c in FEATURES)
+            + ", ".join(
+                f"round(coalesce(CAST({c} AS DOUBLE), a_{c}), 5) + 0.0 AS {c}" for c in FEATURES
+            )
             + " FROM split CROSS JOIN means",
         ),
         "round_features": query(

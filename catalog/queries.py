@@ -351,7 +351,7 @@ def parse_run_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def join_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = categories.consolidate(stored(spark, sf_dir))
-    numeric = df.select(*GRAIN, *rounded(df, measures(df), 4))
+    numeric = df.select(*GRAIN, *[F.col(c).cast("double").alias(c) for c in measures(df)])
     levels = level_lists(df)
     indicators = categories.one_hot(df.select(*GRAIN, *CATEGORICAL), levels)
     return numeric.join(indicators, GRAIN, "inner")
@@ -458,7 +458,7 @@ def outlier_to_quartile(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = stored(spark, sf_dir)
     names = measures(df)
     replaced = outliers.replace_outliers(df, outliers.fit_fences(df, names))
-    return replaced.select(*GRAIN, *rounded(replaced, names, 4))
+    return replaced.select(*GRAIN, *rounded(replaced, names, 6))
 
 
 def standardize(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -473,7 +473,7 @@ def mean_impute(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = columns.add_differences(stored(spark, sf_dir))
     train = df.filter(~split.exact_test(df, GRAIN))
     filled = scaling.fill_with_mean(df, scaling.fit_scales(train, NUMERIC_FEATURES))
-    return filled.select(*GRAIN, *rounded(filled, NUMERIC_FEATURES, 3))
+    return filled.select(*GRAIN, *rounded(filled, NUMERIC_FEATURES, 5))
 
 
 def round_features(spark: SparkSession, sf_dir: str) -> DataFrame:
