@@ -20,13 +20,10 @@ def mapped(column: str, lookup: dict[str, str]) -> Column:
 
 
 def consolidate(df: DataFrame) -> DataFrame:
-    """Consolidate job titles and industries; unknown values become missing."""
-    return df.withColumns(
-        {
-            "TITLE_CATEGORY_YR_END": mapped("TITLE_CATEGORY_YR_END", schema.TITLE_LOOKUP),
-            "INDUSTRY": mapped("INDUSTRY", schema.INDUSTRY_LOOKUP),
-        }
-    )
+    """Consolidate job titles and industries if present; unknown values become missing."""
+    lookups = {"TITLE_CATEGORY_YR_END": schema.TITLE_LOOKUP, "INDUSTRY": schema.INDUSTRY_LOOKUP}
+    new = {c: mapped(c, lookup) for c, lookup in lookups.items() if c in df.columns}
+    return df.withColumns(new) if new else df
 
 
 def lookup_join(df: DataFrame, column: str, lookup: dict[str, str], out: str) -> DataFrame:

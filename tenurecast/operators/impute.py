@@ -11,6 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -136,7 +137,7 @@ def _product_sums(
                 rows = block[batch[flag].to_numpy(dtype=bool)]
                 sums[t] += rows.T @ rows
         upper = [(t, i, j) for t in range(slots) for i in range(width) for j in range(i, width)]
-        yield _frame(
+        yield pd.DataFrame(
             {
                 "t": [t for t, _, _ in upper],
                 "i": [i for _, i, _ in upper],
@@ -145,8 +146,6 @@ def _product_sums(
             }
         )
 
-    from pandas import DataFrame as _frame
-
     rows = (
         df.select(*scaled, *known)
         .mapInPandas(partial, "t int, i int, j int, s double")

@@ -54,6 +54,16 @@ def test_sparse_feature_is_named(features):
         prep.fit(features, GREGORIAN, [*schema.NUMERIC_FEATURES, schema.PAYEE_COUNT])
 
 
+def test_sparse_category_leaves_the_other_consolidated(features):
+    thin = features.withColumn("TITLE_CATEGORY_YR_END", F.lit(None).cast("string"))
+    state = prep.fit(thin, GREGORIAN)
+    assert "TITLE_CATEGORY_YR_END" in state.dropped
+    assert set(state.levels["INDUSTRY"]) <= set(schema.INDUSTRY_GROUPS)
+    industry = [c for c in state.indicators if c.startswith("INDUSTRY_")]
+    got = prep.apply(thin, state).agg(*[F.sum(schema.quoted(c)) for c in industry]).first()
+    assert min(got) > 0
+
+
 def test_missing_column_is_named(features, state):
     with pytest.raises(ValueError, match="YEAR_PAYMENT"):
         prep.apply(features.drop("YEAR_PAYMENT"), state)

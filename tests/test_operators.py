@@ -183,10 +183,45 @@ def test_cohorts_against_brute_force(spark):
     one, two = brute_cohort(rows)
     assert sorted(map(tuple, cohort.with_both_labels(df).collect())) == sorted(one)
     assert sorted(map(tuple, cohort.teaching_cohort(df, GREGORIAN).collect())) == sorted(two)
+    emptied = {b for b, y, _ in rows if min(r[2] for r in rows if r[:2] == (b, y)) > 0}
+    left = cohort.without_empty_years(df, GREGORIAN)
+    assert sorted(map(tuple, left.collect())) == sorted(r for r in rows if r[0] not in emptied)
     counts = {tuple(r)[:3]: r["n"] for r in cohort.label_counts(df, ["BUSINESS_ID", "CAL_YEAR"]).collect()}
     assert sum(counts.values()) == len(rows)
 
 
+def test_cohort_edges(spark):
+    """Missing businesses, labels and years follow the group-by rules for missing keys."""
+    rows = [(None, 2000, 1), (1, 2000, 0), (1, None, 1), (2, 2000, 0), (2, 2001, None), (3, 2000, 1), (3, 2001, 0)]
+    df = spark.createDataFrame(rows, "BUSINESS_ID long, CAL_YEAR int, TERM_NEXT_YEAR int")
+    assert {r[0] for r in cohort.with_both_labels(df).collect()} == {1, 3}
+    assert {r[0] for r in cohort.without_empty_years(df, GREGORIAN).collect()} == {None, 1, 2}
+    assert {r[0] for r in cohort.teaching_cohort(df, GREGORIAN).collect()} == {1}
+    assert cohort.teaching_cohort(df.limit(0), GREGORIAN).isEmpty()
+
+
+def test_hot_business_is_not_shuffled(spark):
+    """Without automatic broadcasts, only rows of ordinary businesses reach a shuffle."""
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 300).alias("BUSINESS_ID"),
+        (F.col("id") % 4).cast("int").alias("CAL_YEAR"),
+        (F.rand(1) < 0.4).cast("int").alias("TERM_NEXT_YEAR"),
+    ).persist()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = cohort.with_both_labels(df)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+        labels = {}
+        for b, _, label in map(tuple, df.collect()):
+            labels.setdefault(b, set()).add(label)
+        wanted = sum(1 for r in df.collect() if len(labels[r[0]]) > 1)
+        assert kept.count() == wanted
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_grain_check(spark):
     df = spark.createDataFrame([(1, 2, 2000), (1, 2, 2000)], "BUSINESS_ID long, MASTER_PARTICIPANT_ID long, FISCAL_YEAR int")
     with pytest.raises(ValueError, match="more than one row"):
