@@ -203,24 +203,17 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     edges = staged(edges.mapInArrow(_local_stars, "a long, b long").distinct(), f"{label}-edges")
     before = None
     while True:
+        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+        if now == before or not now[0]:
+            roots = edges.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
+        before = now
         both = edges.union(edges.select("b", "a"))
-        least = both.groupBy("a").agg(F.min("b").alias("m"))
-        least = least.select("a", F.least("a", "m").alias("m"))
-        large = (
-            both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        )
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        # Every edge now runs from a larger to a smaller node.
         large = staged(large.distinct(), f"{label}-large")
-        # now every edge runs from a larger to a smaller node
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(
-            F.col("a"), F.col("b"), F.col("m")
-        )
-        small = small.select(F.explode(F.array(
-            F.struct(F.col("a").alias("a"), F.col("m").alias("b")),
-            F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
-        )).alias("e")).select("e.a", "e.b").filter("a <> b").distinct()
+        ends = F.array(*[F.struct(F.col(x).alias("a"), F.col("m").alias("b")) for x in ("a", "b")])
+        small = large.join(low, "a").select(F.inline(ends)).filter("a <> b").distinct()
         edges = staged(small, f"{label}-small")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(now) == before:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        before = tuple(now)
