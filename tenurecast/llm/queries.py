@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from tenurecast.llm.jaccard import OP8_SQL, op8_ngram_jaccard_join
 from tenurecast.llm.language import op10_language_id
+from tenurecast.llm.packing import op1_best_fit_packing
 from tenurecast.llm.quality import op7_quality_rules
+from tenurecast.llm.secrets import op2_secret_scan
 
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_secret_scan": op2_secret_scan,
     "op7_quality_rules": op7_quality_rules,
+    "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op10_language_id": op10_language_id,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op8_ngram_jaccard_join": OP8_SQL}
