@@ -210,7 +210,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 4, den: int = 5,
     same = ["n", "f1", "f2"]
     classes = points.filter("n > 0 and doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
     classes = staged(classes, "jaccard-classes")
-    first = points.join(classes.drop("copies"), [*same, "doc_id"], "left_semi")
+    first = points.join(classes.drop("copies").hint("merge"), [*same, "doc_id"], "left_semi")
     routed = first.select("doc_id", F.explode("routes").alias("route"))
     leader = F.first("doc_id").over(Window.partitionBy("route").orderBy("doc_id"))
     shared = routed.withColumn("leader", leader).filter("leader <> doc_id").select("doc_id", "leader")
@@ -219,7 +219,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 4, den: int = 5,
         points.select(F.col("doc_id").alias("node"), "n", "point").dropDuplicates(["node"]), "node"
     )
     nodes = staged(_leaves(nodes).withColumn("label", F.col("node")), "jaccard-leaves")
-    texts = docs.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").withColumnRenamed("doc_id", "node")
+    # The same join at every size: the plan must not turn when the candidates outgrow a broadcast.
+    texts = docs.join(nodes.select(F.col("node").alias("doc_id")).hint("merge"), "doc_id", "left_semi").withColumnRenamed("doc_id", "node")
     texts = staged(texts.dropDuplicates(["node"]), "jaccard-texts")
 
     def joined(assigned: DataFrame, label: str) -> DataFrame:
@@ -231,7 +232,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 4, den: int = 5,
     label = _between_leaves(nodes, inner, joined, num, den)
     found = classes.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left").filter("copies > 1 or component is not null")
     found = found.select(*same, F.coalesce("component", "doc_id").alias("component"))
-    return points.select("doc_id", *same).join(found, same, "left").select(
+    return points.select("doc_id", *same).join(found.hint("merge"), same, "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
     )
 
