@@ -35,7 +35,7 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all rows and the offsets between them; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string()).fill_null("")
+    column = column.cast(pa.large_binary()).fill_null(b"")
     if len(column) == 0:
         return np.empty(0, np.uint8), np.zeros(1, np.int64)
     _, offsets, data = column.buffers()
