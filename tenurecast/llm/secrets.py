@@ -104,12 +104,13 @@ def candidates(text: Column) -> Column:
     return let(F.concat(base, ids), with_weak)
 
 
-def scan(docs: DataFrame, text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: the struct ``row`` and the reported ``spans`` in order.
+def scan(docs: DataFrame, text: str = "text", kept: list[str] | None = None) -> DataFrame:
+    """One row per row of ``docs``: the struct ``row`` (all columns, or those of ``kept``) and
+    the reported ``spans`` in order.
 
     The row travels with the first of its parts, so it is shuffled once at most.
     """
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    whole = F.struct(*[F.col(f"`{c}`") for c in kept or docs.columns]).alias("row")
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), whole, candidates(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("parts"))
     parts = rows.select("uid", "row", F.posexplode_outer("parts").alias("at", "part"))
     parts = parts.select(
@@ -186,7 +187,7 @@ def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scanned = scan(table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("text", F.col("text")))
+    scanned = scan(table(spark, sf_dir, "documents"), kept=["doc_id"])
     base = F.filter("spans", lambda s: s["kind"] < len(BASE))
     count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == KINDS.index(k))).cast("long").alias(f"n_{k}")
     return scanned.select(
