@@ -29,7 +29,7 @@ from tenurecast.llm.common import chunks, fold, longs, table, text_buffer, words
 from tenurecast.session import staged
 
 #: Share of the tokens from which a word is clustered, and the numbers of classes.
-FREQUENT, CLASSES, RARE_CLASSES = 1 / 4096, 32, 8
+FREQUENT, CLASSES, RARE_CLASSES = 1 / 16384, 32, 8
 #: Sweeps of the exchange over all frequent words.
 SWEEPS = 4
 #: Share of a transition that comes from the class's own frequency.
@@ -65,17 +65,24 @@ def _encode(frequent):
             common = known[at] == hashes if len(known) else np.zeros(len(hashes), bool)
             ids = np.where(common, at, len(known) + (hashes % np.uint64(RARE_CLASSES)).astype(np.int64)).astype("<u2")
             cuts = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=part.num_rows))])
-            rare = np.flatnonzero(~common)
-            rare_cuts = np.searchsorted(rare, cuts)
+            rare, n = doc[~common], hashes[~common]
+            order = np.lexsort((n, rare))
+            rare, n = rare[order], n[order]
+            first = np.ones(len(n), bool)
+            first[1:] = (rare[1:] != rare[:-1]) | (n[1:] != n[:-1])
+            heads = np.flatnonzero(first)
+            times = np.diff(np.append(heads, len(n)))
+            rare_cuts = pa.array(np.searchsorted(rare[heads], np.arange(part.num_rows + 1)), pa.int32())
             raw = ids.tobytes()
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"),
                     part.column("held_out"),
                     pa.array([raw[2 * a : 2 * b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(rare_cuts, pa.int32()), longs(hashes[rare])),
+                    pa.ListArray.from_arrays(rare_cuts, longs(n[heads])),
+                    pa.ListArray.from_arrays(rare_cuts, pa.array(times, pa.int32())),
                 ],
-                names=["doc_id", "held_out", "ids", "rare"],
+                names=["doc_id", "held_out", "ids", "rare", "times"],
             )
 
     return run
@@ -168,7 +175,7 @@ def _score(model):
             n = np.diff(np.append(starts, len(ids)))
             known = total(own["common"][ids])
             score, plain = total(step[kind[before], c] + emit[ids]), total(base[ids])
-            names = ["doc_id", "held_out", "rare", "n_tokens", "known", "score", "base"]
+            names = ["row", "doc_id", "held_out", "n_tokens", "known", "score", "base"]
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(x) for x in names[:3]], pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(score, pa.float64()), pa.array(plain, pa.float64())],
                 names=names,
@@ -192,8 +199,8 @@ def score_texts(docs: DataFrame, held_out, key: str = "doc_id", text: str = "tex
     number = dict(sorted((int(np.int64(r["word"]).astype(np.uint64)), r["n"]) for r in common))
     number.setdefault(int(END), 0)
     known = np.array(sorted(number), np.uint64)
-    encoded = docs.mapInArrow(_encode(context.broadcast(known)), "doc_id long, held_out boolean, ids binary, rare array<long>")
-    encoded = staged(encoded, "brown-encoded")
+    encoded = docs.mapInArrow(_encode(context.broadcast(known)), "doc_id long, held_out boolean, ids binary, rare array<long>, times array<int>")
+    encoded = staged(encoded.select(F.monotonically_increasing_id().alias("row"), "*"), "brown-encoded")
 
     # Classes: 0 .. CLASSES - 1 by exchange, then the rare ones, then the end.
     f, total = len(known), CLASSES + RARE_CLASSES + 1
@@ -246,19 +253,18 @@ def score_texts(docs: DataFrame, held_out, key: str = "doc_id", text: str = "tex
     is_common = np.zeros(kinds, np.int64)
     is_common[:f] = often > 0
     shared = context.broadcast({"class": kind, "step": step, "emit": emit, "base": base, "common": is_common, "end": end_id})
-    scored = encoded.mapInArrow(
-        _score(shared), "doc_id long, held_out boolean, rare array<long>, n_tokens long, known long, score double, base double"
+    scored = encoded.select("row", "doc_id", "held_out", "ids").mapInArrow(
+        _score(shared), "row long, doc_id long, held_out boolean, n_tokens long, known long, score double, base double"
     )
-    scored = staged(scored.select(F.monotonically_increasing_id().alias("row"), "*"), "brown-scored")
 
     # Rare words meet their counts: one row per text and word, summed up again per text.
-    words_of = scored.select("row", F.explode("rare").alias("word")).groupBy("word", "row").agg(F.count("*").alias("times"))
-    met = words_of.join(counts.withColumnRenamed("n", "c"), "word")
+    pair = F.inline(F.arrays_zip(F.col("rare").alias("word"), F.col("times").alias("times")))
+    met = encoded.select("row", pair).join(counts.withColumnRenamed("n", "c"), "word")
     gains = met.groupBy("row").agg(
         F.sum("times").alias("more_known"),
         F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("gain"),
     )
-    joined = scored.drop("rare").join(gains, "row", "left")
+    joined = scored.join(gains, "row", "left")
     gain = F.coalesce("gain", F.lit(0.0))
     return joined.select(
         "doc_id",
