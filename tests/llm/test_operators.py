@@ -1,0 +1,318 @@
+"""Every operator against brute force, an exact round trip or held-out accuracy, and on edge cases."""
+
+import collections
+import hashlib
+import math
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from tenurecast.llm import brown, chat, fingerprint, jaccard, language, packing, pieces, quality, queries, secrets, warc
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SCHEMA = "doc_id long, text string, row string, uid string, n string"
+EDGE = [
+    (1, None), (2, ""), (3, " \n\t "), (4, "a"), (5, "a b"), (5, "a b"), (6, "é 𝒳 ▁ \\ </turn>"),
+    (7, "word " * 3000), (8, "word " * 3000), (None, "null id"), (9, "x" * 20000), (10, "Üb " * 40 + "token=abcdefgh1"),
+]
+
+
+@pytest.fixture(scope="module")
+def edge(spark):
+    return spark.createDataFrame([(i, t, "r", "u", "n") for i, t in EDGE], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def texts(spark, small):
+    return {r.doc_id: r.text or "" for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+
+
+def lower(text):
+    return text.translate({c: c + 32 for c in range(65, 91)})
+
+
+def test_packing(spark, small, texts):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    got = queries.QUERIES["op1_best_fit_packing"](spark, small).collect()
+    want = []
+    for doc, text in texts.items():
+        ids = tokenizer.encode(text, add_special_tokens=False).ids + [1]
+        for k in range(0, len(ids), 4096):
+            part = np.array(ids[k : k + 4096], "<u4").tobytes()
+            want.append((doc, k // 4096, k, len(part) // 4, zlib.crc32(part)))
+    assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == sorted(want)
+    bins = collections.defaultdict(list)
+    for r in got:
+        bins[r.sequence_id].append((r.offset, r.length))
+    for rows in bins.values():
+        at = 0
+        for offset, length in sorted(rows):
+            assert offset == at
+            at += length
+        assert at <= 4096
+    assert len(bins) <= math.ceil(sum(r.length for r in got) / 4096) + 1
+
+
+def test_plan_holds_every_piece_once():
+    random = np.random.default_rng(1)
+    counts = collections.Counter(np.minimum(random.geometric(0.002, 30000), 4096).tolist())
+    chosen = packing.plan(counts)
+    held = collections.Counter()
+    for fill, copies in chosen:
+        assert sum(n * m for n, m in fill) <= 4096
+        for n, m in fill:
+            held[n] += m * copies
+    assert held == counts
+    bound = math.ceil(sum(n * c for n, c in counts.items()) / 4096)
+    assert sum(c for _, c in chosen) <= 1.005 * bound + 1
+    assert packing.plan({}) == []
+
+
+def test_odd_words_encode_alike():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    odd = ["a b\u0085c 's don't <|endoftext|>x İstanbul ﬁ é ́ \x1c １２ ΑΣ 日本 µª×", " \n\t ", "", "x" * 100 + " " + "y" * 60]
+    assert packing.encode(odd, path) == [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in odd]
+
+
+def secret_spans(text):
+    key = "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in k) for k in ("password", "passwd", "secret", "token"))
+    assign = re.compile(rf"""({key}|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+    found = [(m.start(), 0, m.end()) for m in assign.finditer(text) if len(m[2]) >= 8]
+    found += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    found += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 32]
+    return ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in sorted(found))
+
+
+def test_secrets(spark, small, texts):
+    for r in queries.QUERIES["op2_secret_scan"](spark, small).collect():
+        assert r.base_sha256 == hashlib.sha256(secret_spans(texts[r.doc_id]).encode()).hexdigest()
+
+
+def test_secret_links_and_redaction(spark):
+    value = "aB3/" * 10
+    rows = [
+        (1, "token=token : abcdefghijk secret = 'abcdefgh'"),
+        (2, f"AKIAABCD and {value}"),
+        (3, f"only {value} here"),
+        (4, "client_id=abcde alone, https://a.b/c"),
+        (5, "https://a.b/c token=abcdefgh"),
+        (6, "token=aaaaaaaaaa " * 500),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.row.doc_id: r.w for r in secrets.scan(docs).withColumn("w", secrets.written(F.col("spans"))).collect()}
+    assert got[1] == secret_spans(rows[0][1]) == "assign:26:44" and got[3] == "" and got[4] == ""
+    assert got[2] == "access_id:0:8,value:13:53" and got[5] == "endpoint:0:13,assign:14:28"
+    assert got[6] == secret_spans(rows[5][1])
+    clean = {r.doc_id: r.text for r in secrets.redacted(docs).collect()}
+    assert clean[3] == rows[2][1] and clean[2] == "[ACCESS_ID] and [VALUE]" and "aaaa" not in clean[6]
+
+
+def test_warc(spark, tmp_path):
+    rows = [
+        (1, "http://a/ b\n", "é" * 600), (2, None, "é" * 600), (3, "u", None), (4, "u", ""),
+        (5, "u", "x\r\n\r\nWARC/1.1"), (6, "u", "y" * 2000), (7, "v", "y" * 2000), (7, "v", "y" * 2000), (8, "v", "small"), (9, "v", "small"),
+    ]
+    pages = spark.createDataFrame([(*r, 0) for r in rows], "page_id long, url string, html string, digest int")
+    folder = f"file://{tmp_path}/archives"
+    got = warc.read_warc(warc.write_warc(pages, folder), folder).collect()
+    assert len(got) == len(rows)
+    by_id = {r.page_id: r for r in got}
+    for page, _, html in rows:
+        body = (html or "").encode()
+        r = by_id[page]
+        assert (r.payload_bytes, r.payload_digest) == (len(body), hashlib.sha1(body).hexdigest())
+        assert bytes(r.payload) == (body if r.record_type == "response" else b"")
+    assert [by_id[k].refers_to for k in (1, 2, 6, 7, 8)] == [2, None, 7, None, None]
+    assert warc.read_warc(warc.write_warc(pages.limit(0), folder), folder).count() == 0
+
+
+def test_fingerprints(spark, small, texts):
+    got = {r.doc_id: r for r in queries.QUERIES["op4_document_fingerprints"](spark, small).collect()}
+    order = sorted(texts, reverse=True)
+    for i, doc in enumerate(order):
+        text, after = texts[doc], texts[order[(i + 1) % len(order)]]
+        half = len(text) // 2
+        edited = text[: len(text) - half] + after[:half]
+        assert got[doc].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+    a, b, both, mixed = (tuple(v[i] for v in fingerprint.vectors(["a b c d", "x y z", "a b c d\nx y z", "x y z\na b c d"])) for i in range(4))
+    assert fingerprint.written(*fingerprint.add(a, b)) == fingerprint.written(*both) == fingerprint.written(*mixed)
+    assert fingerprint.written(*fingerprint.remove(both, b)) == fingerprint.written(*a)
+
+
+def test_pieces():
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    own, model = pieces.lattice(path), sentencepiece.SentencePieceProcessor(model_file=path)
+    odd = ["", "a", " a  b\n\nc▁ d", "▁", "日本語 𝒳\x00\t", "the " * 5, "x" * 3000, "\n", " "]
+    ids = own.sample(odd, np.arange(len(odd)))
+    assert [own.decode(i.tolist()) for i in ids] == odd == [model.decode(i.tolist()) for i in ids]
+
+    def paths(s):
+        if not s:
+            yield (), 0.0
+        for j in range(1, len(s) + 1):
+            if (k := own.ids.get(s[:j])) is not None:
+                for q, w in paths(s[j:]):
+                    yield (k, *q), w + own.weight[k]
+
+    drawn = collections.Counter(tuple(i.tolist()) for i in own.sample(["then"] * 20000, np.arange(20000)))
+    weights = dict(paths("▁then"))
+    total = sum(map(math.exp, weights.values()))
+    assert set(drawn) <= set(weights)
+    assert all(abs(drawn[q] / 20000 - math.exp(w) / total) < 0.02 for q, w in weights.items())
+
+
+def test_chat_parts(spark):
+    parts = [("text", "see ", None, None), ("image", None, "i.png", 2), ("text", " </turn>", None, None), ("audio", None, "a.wav", 10), ("video", None, "v", None)]
+    rows = [(1, 0, "user", parts), (1, 1, "assistant", None), (2, None, None, [])]
+    got = {r.conv_id: r for r in chat.format_chat(spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts array<{chat.PART}>")).collect()}
+    assert got[1].formatted.startswith("### user:\nsee <|image 0|> \\</turn><|audio 1|><|video 2|>\n</turn>\n")
+    assert [(a.number, a.type, a.ref, a.tokens) for a in got[1].attachments] == [(0, "image", "i.png", 1152), (1, "audio", "a.wav", 250), (2, "video", "v", 0)]
+    assert got[1].attachment_tokens == 1402 and got[2].formatted == "### :\n\n</turn>\n"
+
+
+@pytest.mark.parametrize("role", ["us\ner\\", "x:\ny<|line|>\\\n", "\\\n", ""])
+@pytest.mark.parametrize("text", ["a\\\n</turn>\n### x:\n", "", "####</turn></turn>\\", "\\\\</turn>", "é𝒳<|line|>\n"])
+def test_chat_round_trip(spark, role, text):
+    rows = spark.createDataFrame([(1, 0, role, text), (1, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    done = chat.format_chat(rows.withColumn("parts", chat.text_part(F.col("text"))))
+    r = done.select(chat.read_chat(F.col("formatted")).alias("t"), chat.loss_texts(F.col("formatted"), F.col("loss")).alias("l")).first()
+    assert [(x.role, x.text) for x in r.t] == [(role, text), ("assistant", text)] and r.l == [text]
+
+
+def test_quality(spark, small, texts):
+    kept = 0
+    for r in queries.QUERIES["op7_quality_rules"](spark, small).collect():
+        text = texts[r.doc_id]
+        w = WORD.findall(text)
+        places = collections.defaultdict(list)
+        for i in range(len(w) - 2):
+            places[tuple(w[i : i + 3])].append(i)
+        covered = {j for v in places.values() if len(v) > 1 for i in v for j in range(i, i + 3)}
+        lines = [x for x in text.split("\n") if WORD.search(x)]
+        want = (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered))
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want
+        assert r.base_failed == (len(w) < 50 or 100 * len(covered) > 50 * len(w)) and not (r.base_failed and r.kept)
+        kept += r.kept
+    assert kept > 0.7 * len(texts)
+
+
+def test_decision_list():
+    random = np.random.default_rng(3)
+    x = {"a": random.random(3000), "b": random.random(3000)}
+    bad = (x["a"] > 0.8) & (x["b"] < 0.3)
+    rules = quality.cover(x, bad)
+    taken = np.zeros(3000, bool)
+    for rule in rules:
+        taken |= quality._taken(rule, x, 3000)
+    assert (taken == bad).mean() > 0.98
+    assert quality.cover(x, np.zeros(3000, bool)) == []
+
+
+def brute_components(texts, width, num, den):
+    sets = {}
+    for doc, text in texts.items():
+        w = WORD.findall(lower(text))
+        sets[doc] = {tuple(w[i : i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else ({tuple(w)} if w else set())
+    up = {d: d for d in sets}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    docs = sorted(sets)
+    for i, a in enumerate(docs):
+        for b in docs[i + 1 :]:
+            x, y = sets[a], sets[b]
+            if x and y and den * min(len(x), len(y)) >= num * max(len(x), len(y)):
+                both = len(x & y)
+                if den * both >= num * (len(x) + len(y) - both):
+                    p, q = find(a), find(b)
+                    up[max(p, q)] = min(p, q)
+    return {d: (len(sets[d]), find(d)) for d in docs}
+
+
+@pytest.mark.parametrize("leaf", [256, 2])
+def test_near_duplicates(spark, monkeypatch, leaf):
+    """Small leaves make groups span many of them."""
+    monkeypatch.setattr(jaccard, "LEAF_TEXTS", leaf)
+    random = np.random.default_rng(5)
+    vocabulary = [f"w{i}" for i in range(400)]
+    texts = {}
+    for base in range(12):
+        w = random.choice(vocabulary, int(random.integers(5, 150))).tolist()
+        for _ in range(6):
+            if random.random() < 0.8:
+                w = list(w)
+                w[int(random.integers(len(w)))] = str(random.choice(vocabulary))
+            texts[len(texts)] = " ".join(w)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(docs, 3, 4, 5).collect()}
+    assert got == brute_components(texts, 3, 4, 5)
+
+
+def test_class_ngrams(spark, small, texts):
+    got = {r.doc_id: r for r in queries.QUERIES["op9_class_ngram_score"](spark, small).collect()}
+    tokens = {d: [*WORD.findall(lower(t)), None] for d, t in texts.items()}
+    held = {d: zlib.crc32(str(d).encode()) % 7 == 2 for d in texts}
+    counts = collections.Counter(w for d, ws in tokens.items() if not held[d] for w in ws)
+    n, v = sum(counts.values()), len(counts)
+    for d, ws in tokens.items():
+        r = got[d]
+        base = sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in ws)
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[d], len(ws), sum(counts[w] > 0 for w in ws), n)
+        assert abs(r.base_score - base) <= 1e-9 * abs(base) + 1e-9 and r.score < 0
+    out = [got[d] for d in texts if held[d]]
+    assert sum(r.score for r in out) > sum(r.base_score for r in out)
+
+
+def test_language(spark, small):
+    got = queries.QUERIES["op10_language_id"](spark, small)
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "lang")
+    rows = got.join(docs, "doc_id").filter("held_out").collect()
+    assert sum(r.lang == r.lang_pred for r in rows) >= 0.9 * len(rows)
+
+
+def test_edge_cases(spark, edge):
+    """Nulls, empty and long texts, repeated rows, clashing names and empty tables."""
+    model = language.Model(("en",), np.zeros((language.BUCKETS, 1)), np.zeros(1), 1.0, 0.0)
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    steps = {
+        "pack": lambda d: packing.pack(d, public_tokenizers.path("word_bpe_49k.json")),
+        "scan": secrets.scan,
+        "redacted": secrets.redacted,
+        "fingerprints": fingerprint.fingerprints,
+        "pieces": lambda d: pieces.sample_pieces(d, path),
+        "keep": lambda d: quality.judged(d, []),
+        "near": jaccard.near_duplicates,
+        "score": lambda d: brown.score_texts(d, F.col("doc_id") == 7),
+        "language": lambda d: language.identify(d, model),
+    }
+    for name, step in steps.items():
+        rows = step(edge).collect()
+        assert len(rows) >= len(EDGE), name
+        assert step(edge.limit(0)).count() == 0, name
+        if name == "pieces":
+            assert all(r.lossless for r in rows)
+
+
+def test_pipeline(spark, small, tmp_path):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    columns, before = docs.columns, docs.count()
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, small)
+        out.write.parquet(f"{tmp_path}/{k}")
+        docs = spark.read.parquet(f"{tmp_path}/{k}")
+        if k < len(corpus_pipeline.STAGES) - 1:
+            assert docs.columns == columns, name
+            assert docs.count() >= 0.7 * before, name
+    assert docs.select("doc_id").distinct().count() > 0.7 * before
