@@ -516,7 +516,7 @@ FROM flags CROSS JOIN (VALUES (false), (true)) r(remote)""",
         ),
         "hash_jitter": query(
             f"{features(g)}, texts AS (SELECT *, sha256({row_text}) AS digest FROM features)",
-            f"SELECT {grain(g)}, round(least({jitter_score}, 1.0), 9) AS PRED_TERM_PROB FROM texts",
+            f"SELECT {grain(g)}, round({jitter_score}, 9) AS PRED_TERM_PROB FROM texts",
         ),
         "chained_impute_checks": query(
             f"{features(g)}, {differences('features')}", chained

@@ -44,9 +44,9 @@ def with_jitter(
     columns: list[str],
     keys: list[str] | None = None,
 ) -> DataFrame:
-    """Add the offset to a probability, never above 1.
+    """Add the offset to a probability; rows at 1 keep their differences and may exceed it.
 
     Rows with equal values get equal offsets; pass ``keys`` to tell them apart.
     """
     offset = hash_fraction(row_text(df, [*(keys or []), *columns]))
-    return df.withColumn(probability, F.least(F.col(probability) + offset, F.lit(1.0)))
+    return df.withColumn(probability, F.col(probability) + offset)

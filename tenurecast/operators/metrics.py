@@ -6,7 +6,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_MOST_RANGES = 1_000
+from ..session import staged
 
 
 def accuracy(df: DataFrame, prediction: str, label: str, by: list[str] | None = None) -> DataFrame:
@@ -16,11 +16,10 @@ def accuracy(df: DataFrame, prediction: str, label: str, by: list[str] | None =
 
 
 def score_ranges(df: DataFrame, score: str, ranges: int | None = None) -> list[float]:
-    """Cut points that spread the scores over about equally many rows each."""
+    """Cut points that spread the rows of ``df`` over about equally large ranges."""
     if ranges is None:
         ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = max(1, min(ranges, _MOST_RANGES))
-    if ranges == 1:
+    if ranges <= 1:
         return []
     shares = [i / ranges for i in range(1, ranges)]
     cuts = df.agg(F.percentile_approx(F.col(score).cast("double"), shares, 10_000).alias("c")).first()
@@ -35,13 +34,15 @@ def auc(df: DataFrame, score: str, label: str, ranges: int | None = None) -> Dat
     only one row per range is needed to add up what lies below the range. No
     task ever sees more than one range.
     """
-    cuts = score_ranges(df, score, ranges)
     positive = F.col(label).cast("long")
     scores = (
         df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
         .groupBy(F.col(score).cast("double").alias("score"))
         .agg(F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg"))
     )
+    # Ranges are cut from distinct scores, so one score that most rows share leaves them even.
+    scores = staged(scores, "auc-scores")
+    cuts = score_ranges(scores, "score", ranges)
     if cuts:
         scores = Bucketizer(
             splits=[-float("inf"), *cuts, float("inf")], inputCol="score", outputCol="part"

@@ -48,9 +48,9 @@ class Trained:
         self.model.write().overwrite().save(f"{path}/model")
 
 
-def load_trained(spark: SparkSession, path: str, chained: bool = False) -> Trained:
-    state = prep.PrepState.load(spark, f"{path}/state", chained)
-    return Trained(state, forest.load_forest(f"{path}/model"), {})
+def load_trained(spark: SparkSession, path: str) -> Trained:
+    state = prep.PrepState.load(spark, f"{path}/state")
+    return Trained(state, forest.load_model(spark, f"{path}/model"), {})
 
 
 def _fit(df: DataFrame, features: list[str], calendar: Calendar, settings: Settings) -> forest.Model:

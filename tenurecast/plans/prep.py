@@ -18,6 +18,7 @@ from ..operators.outliers import Fence
 from ..operators.scaling import Scale
 from ..operators.split import exact_test
 from ..schema import LABEL, Calendar, quoted
+from ..session import folder_exists
 
 IS_TEST = "is_test"
 
@@ -77,7 +78,9 @@ class PrepState:
             self.chained.save(spark, f"{path}/chained")
 
     @staticmethod
-    def load(spark: SparkSession, path: str, chained: bool = False) -> PrepState:
+    def load(spark: SparkSession, path: str) -> PrepState:
+        """The stored state, with its chained imputer if it was saved with one."""
+        chained = folder_exists(spark, f"{path}/chained")
         rows = spark.read.schema(_COLUMN_STATE).parquet(f"{path}/columns").collect()
         levels: dict[str, list[tuple[int, str]]] = {}
         chosen: dict[int, str] = {}

@@ -82,11 +82,13 @@ def test_forest_is_repeatable(rows, state, model):
     assert again.toDebugString.split("\n", 1)[1] == model.toDebugString.split("\n", 1)[1]
 
 
-def test_leaf_bound():
-    assert forest.leaf_rows(100_000, 100, 5) == 5
-    rows = 10**10
-    leaf = forest.leaf_rows(rows, 100, 5)
-    assert 100 * 2 * rows / leaf <= forest.MOST_NODES
+def test_training_rows_are_chosen_by_key(spark):
+    df = spark.range(4000).withColumnRenamed("id", "k")
+    assert forest.training_rows(df, ["k"]).count() == 4000
+    some = forest.training_rows(df, ["k"], 1000)
+    assert 800 < some.count() < 1200
+    again = forest.training_rows(df.repartition(7), ["k"], 1000)
+    assert {r["k"] for r in some.collect()} == {r["k"] for r in again.collect()}
 
 
 def test_every_key_is_scored_once(rows, state, model):
@@ -155,11 +157,16 @@ def test_wide_forest_settings(rows, state):
     assert model.getNumTrees == 6 and model.getFeatureSubsetStrategy() == "log2"
 
 
-def test_partitions_follow_the_rows():
-    assert forest.partitions_for(7_000, 200) == 8
-    assert forest.partitions_for(7_000, 4) == 4
-    assert forest.partitions_for(5_000_000, 200) == 100
-    assert forest.partitions_for(10**10, 200) == 5_000
+def test_fit_does_not_depend_on_cluster_settings(spark, rows, state):
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    models = []
+    try:
+        for n in ("4", "11"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            models.append(forest.fit_tree(rows, state.features, GREGORIAN, maxDepth=6).toDebugString)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+    assert models[0].split("\n", 1)[1] == models[1].split("\n", 1)[1]
 
 
 def test_published_explanations_add_up(rows, state, model):
