@@ -132,7 +132,8 @@ features{x} AS (
          CAST(quietest AS DOUBLE) AS COUNT_MIN_MONTH_ORDER,
          statuses AS COUNT_UNIQ_TITLE_NAME, coalesce(suppliers, 0) AS COUNT_UNIQ_MGR_ID,
          payee AS COMP_AVG_MONTH_PAYEECOUNT,
-         CAST(CASE WHEN nx.y IS NULL THEN 1 ELSE 0 END AS INTEGER) AS TERM_NEXT_YEAR
+         CAST(CASE WHEN p.y = (SELECT max(y) FROM o{x}) THEN NULL WHEN nx.y IS NULL THEN 1 ELSE 0 END
+           AS INTEGER) AS TERM_NEXT_YEAR
   FROM per_year{x} p
   JOIN months{x} m ON m.o_custkey = p.o_custkey AND m.y = p.y
   JOIN last_order{x} t ON t.o_custkey = p.o_custkey AND t.y = p.y
@@ -140,8 +141,7 @@ features{x} AS (
   LEFT JOIN line_year{x} l ON l.o_custkey = p.o_custkey AND l.y = p.y
   LEFT JOIN (SELECT o_custkey, y FROM per_year{x}) nx ON nx.o_custkey = p.o_custkey AND nx.y = p.y + 1
   JOIN customer ON c_custkey = p.o_custkey
-  LEFT JOIN (nation JOIN region ON n_regionkey = r_regionkey) ON c_nationkey = n_nationkey
-  WHERE p.y < (SELECT max(y) FROM o{x}))"""
+  LEFT JOIN (nation JOIN region ON n_regionkey = r_regionkey) ON c_nationkey = n_nationkey)"""
 
 
 def pairs(lookup: dict[str, str]) -> str:
@@ -339,7 +339,7 @@ emptied AS (SELECT BUSINESS_ID FROM features GROUP BY BUSINESS_ID, CAL_YEAR
         ),
         "control_upsert": (
             "SELECT c_name AS NAME, CASE WHEN EXISTS (SELECT 1 FROM orders WHERE "
-            "o_custkey = c_custkey AND year(o_orderdate) = 2000) THEN 'FALSE' "
+            "o_custkey = c_custkey) THEN 'FALSE' "
             "WHEN c_acctbal >= 0 THEN 'TRUE' ELSE 'FALSE' END AS VALUE FROM customer "
             "UNION ALL SELECT s_name, 'FALSE' FROM supplier"
         ),
@@ -384,12 +384,13 @@ emptied AS (SELECT BUSINESS_ID FROM features GROUP BY BUSINESS_ID, CAL_YEAR
         ),
         "cohort_both_labels": query(
             f"{features(g)}, {cohort_one}",
-            f"SELECT {grain(g)}, TERM_NEXT_YEAR FROM features JOIN kept USING (BUSINESS_ID)",
+            f"SELECT {grain(g)}, TERM_NEXT_YEAR FROM features JOIN kept USING (BUSINESS_ID) "
+            f"WHERE TERM_NEXT_YEAR IS NOT NULL",
         ),
         "cohort_no_empty_year": query(
             f"{features(g)}, {cohort_one}, {cohort_two}",
             f"SELECT {grain(g)}, TERM_NEXT_YEAR FROM features JOIN kept USING (BUSINESS_ID) "
-            f"WHERE BUSINESS_ID NOT IN (SELECT BUSINESS_ID FROM emptied)",
+            f"WHERE TERM_NEXT_YEAR IS NOT NULL AND BUSINESS_ID NOT IN (SELECT BUSINESS_ID FROM emptied)",
         ),
         "run_gate": """
 WITH control AS (
@@ -426,7 +427,7 @@ FROM flags CROSS JOIN (VALUES (false), (true)) r(remote)""",
         "label_counts": query(
             features(g),
             "SELECT BUSINESS_ID, CAL_YEAR, TERM_NEXT_YEAR, count(*) AS n FROM features "
-            "GROUP BY ALL",
+            "WHERE TERM_NEXT_YEAR IS NOT NULL GROUP BY ALL",
         ),
         "column_profile": query(mapped(g), profile),
         "level_counts": query(
@@ -461,11 +462,11 @@ FROM flags CROSS JOIN (VALUES (false), (true)) r(remote)""",
             features(g),
             f"SELECT CAL_YEAR, round(avg(CASE WHEN CAST({SCORE} < 0.25 AS INTEGER) = TERM_NEXT_YEAR "
             f"THEN 1.0 ELSE 0.0 END), 9) AS accuracy, count(*) AS n_rows FROM features "
-            f"GROUP BY CAL_YEAR",
+            f"WHERE TERM_NEXT_YEAR IS NOT NULL GROUP BY CAL_YEAR",
         ),
         "auc_rank_sum": query(
-            f"{features(g)}, scored AS (SELECT {SCORE} AS s, TERM_NEXT_YEAR AS l FROM features), "
-            f"ranked AS (SELECT l, (rank() OVER (ORDER BY s)) + (count(*) OVER (PARTITION BY s) - 1) "
+            f"{features(g)}, scored AS (SELECT {SCORE} AS s, TERM_NEXT_YEAR AS l FROM features "
+            f"WHERE TERM_NEXT_YEAR IS NOT NULL), ranked AS (SELECT l, (rank() OVER (ORDER BY s)) + (count(*) OVER (PARTITION BY s) - 1) "
             f"/ 2.0 AS r FROM scored), "
             f"sums AS (SELECT sum(r) FILTER (WHERE l = 1) AS rs, count(*) FILTER (WHERE l = 1) AS p, "
             f"count(*) FILTER (WHERE l = 0) AS q FROM ranked)",

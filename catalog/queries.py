@@ -56,6 +56,11 @@ def stored(spark: SparkSession, sf_dir: str, calendar: Calendar = GREGORIAN, *na
     return staged(df.select(*names) if names else df, f"features-{calendar.name}")
 
 
+def labelled(df: DataFrame) -> DataFrame:
+    """Rows that can teach: those of the last year have no label yet."""
+    return df.filter(F.col(LABEL).isNotNull())
+
+
 def measures(df: DataFrame, calendar: Calendar = GREGORIAN) -> list[str]:
     return columns.measure_columns(df.columns, calendar)
 
@@ -139,9 +144,8 @@ def control_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_name").alias("NAME"),
         F.when(F.col("c_acctbal") >= 0, "TRUE").otherwise("FALSE").alias("VALUE"),
     )
-    active = table(spark, sf_dir, "orders").filter(F.year("o_orderdate") == 2000)
     # One row per customer before the join: a customer may hold a third of all orders.
-    owners = active.select(F.col("o_custkey").alias("c_custkey")).distinct()
+    owners = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey")).distinct()
     finished = control.join(owners, "c_custkey", "left_semi")
     new = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("NAME"))
     updates = finished.select("NAME").unionByName(new).withColumn("VALUE", F.lit("FALSE"))
@@ -296,12 +300,12 @@ def align_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cohort_both_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = stored(spark, sf_dir, GREGORIAN, *GRAIN, LABEL)
+    df = labelled(stored(spark, sf_dir, GREGORIAN, *GRAIN, LABEL))
     return cohort.with_both_labels(df).select(*GRAIN, LABEL)
 
 
 def cohort_no_empty_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = stored(spark, sf_dir, GREGORIAN, *GRAIN, LABEL)
+    df = labelled(stored(spark, sf_dir, GREGORIAN, *GRAIN, LABEL))
     return cohort.teaching_cohort(df, GREGORIAN).select(*GRAIN, LABEL)
 
 
@@ -311,14 +315,9 @@ def run_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("NAME"),
         F.when(raised, "TRUE").otherwise("FALSE").alias("VALUE"),
     )
-    gates = [
-        runs.gate(control, name, remote=remote).select(
-            "NAME", "VALUE", F.lit(remote).alias("remote"), "run"
-        )
-        for name in ("BUILDING", "MACHINERY", "ABSENT")
-        for remote in (False, True)
-    ]
-    return reduce(DataFrame.unionByName, gates)
+    flags = runs.flags(control, ["BUILDING", "MACHINERY", "ABSENT"])
+    modes = F.explode(F.array(F.lit(False), F.lit(True))).alias("remote")
+    return flags.select("*", modes).withColumn("run", runs.may_run(F.col("VALUE"), F.col("remote")))
 
 
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -547,7 +546,7 @@ def prepare_training(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _held_out(spark: SparkSession, sf_dir: str, fit: Callable) -> DataFrame:
-    df = stored(spark, sf_dir)
+    df = labelled(stored(spark, sf_dir))
     test = split.exact_test(df, GRAIN)
     state = prep.fit(df, GREGORIAN, test=test)
     rows = staged(prep.apply(df, state).withColumn(prep.IS_TEST, test), "prepared")

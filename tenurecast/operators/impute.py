@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import number, quoted
+from ..session import staged
 
 # Round limit and stopping tolerance.
 MAX_ROUNDS = 10
@@ -65,21 +66,29 @@ class ChainedImputer:
         targets = sorted({t for r in self.rounds for t in r})
         known = {t: f"_known_{i}" for i, t in enumerate(targets)}
         out = df.withColumns({known[t]: F.col(quoted(t)).isNotNull() for t in targets}) if targets else df
-        out = out.withColumns(
-            {c: F.coalesce(F.col(quoted(c)).cast("double"), F.lit(self.start[c])) for c in self.columns}
-        )
+        out = self.begin(out)
         for fitted in self.rounds:
-            out = out.withColumns(
-                {
-                    t: F.expr(
-                        f"case when {known[t]} then {quoted(t)} "
-                        f"else {self._predict(t, intercept, weights)} end"
-                    )
-                    for t, (intercept, weights) in fitted.items()
-                }
-            )
+            out = self.advance(out, fitted, known)
         return out.drop(*known.values())
 
+    def begin(self, df: DataFrame) -> DataFrame:
+        """Gaps filled with the start values."""
+        return df.withColumns(
+            {c: F.coalesce(F.col(quoted(c)).cast("double"), F.lit(self.start[c])) for c in self.columns}
+        )
+
+    def advance(self, df: DataFrame, fitted: dict, known: dict[str, str]) -> DataFrame:
+        """One round on filled rows; ``known`` names the flag of each target's given values."""
+        return df.withColumns(
+            {
+                t: F.expr(
+                    f"case when {known[t]} then {quoted(t)} "
+                    f"else {self._predict(t, intercept, weights)} end"
+                )
+                for t, (intercept, weights) in fitted.items()
+            }
+        )
+
     def _predict(self, target: str, intercept: float, weights: list[float]) -> str:
         others = [c for c in self.columns if c != target]
         terms = [
@@ -166,7 +175,11 @@ def fit_chained(
     max_rounds: int = MAX_ROUNDS,
     tolerance: float = TOLERANCE,
 ) -> ChainedImputer:
-    """Learn the rounds from a stored table."""
+    """Learn the rounds from a stored table.
+
+    The filled columns are stored after each round, so a round applies only the newest
+    predictions and its cost does not grow with the rounds before it.
+    """
     stats = df.agg(
         *[F.count(quoted(c)).alias(f"n{i}") for i, c in enumerate(columns)],
         *[F.stddev_pop(quoted(c)).alias(f"d{i}") for i, c in enumerate(columns)],
@@ -181,9 +194,13 @@ def fit_chained(
     known = [f"k{t}" for t in range(len(targets))]
     flags = [F.col(quoted(t)).isNotNull().alias(k) for t, k in zip(targets, known)]
     position = {c: i for i, c in enumerate(columns)}
+    flag_of = dict(zip(targets, known))
+    current = imputer.begin(df.select(*[quoted(c) for c in columns], *flags))
     for _ in range(max_rounds):
-        marked = df.select(*[quoted(c) for c in columns], *flags)
-        filled = imputer.apply(marked).selectExpr(
+        if imputer.rounds:
+            current = imputer.advance(current, imputer.rounds[-1], flag_of)
+            current = staged(current, f"imputed-{len(imputer.rounds)}")
+        filled = current.selectExpr(
             *[
                 f"({quoted(c)} - {number(imputer.centers[c])}) / {number(spreads[c])} as {z}"
                 for c, z in zip(columns, scaled)

@@ -10,9 +10,9 @@ from ..session import staged
 
 
 def accuracy(df: DataFrame, prediction: str, label: str, by: list[str] | None = None) -> DataFrame:
-    """Share of rows whose prediction equals the label."""
+    """Share of rows with a label whose prediction equals it."""
     hit = (F.col(prediction).cast("int") == F.col(label).cast("int")).cast("double")
-    return df.groupBy(*(by or [])).agg(F.avg(hit).alias("accuracy"), F.count(hit).alias("n_rows"))
+    return df.filter(F.col(label).isNotNull()).groupBy(*(by or [])).agg(F.avg(hit).alias("accuracy"), F.count(hit).alias("n_rows"))
 
 
 def score_ranges(df: DataFrame, score: str, ranges: int | None = None) -> list[float]:

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from .. import schema
 from ..schema import quoted
 
-MAX_LEVELS = 1_000
-
 
 @dataclass(frozen=True)
 class ColumnStats:
@@ -84,11 +82,12 @@ def level_counts(df: DataFrame, features: list[str]) -> DataFrame:
 
 
 def collect_levels(
-    df: DataFrame, features: list[str], most: int = MAX_LEVELS
+    df: DataFrame, features: list[str], most: int | None = None
 ) -> dict[str, list[str]]:
-    """Sorted levels per feature. They become columns, so their number is checked."""
-    rows = _pairs(df, features).distinct().limit(most + 1).collect()
-    if len(rows) > most:
+    """Sorted levels per feature. They become columns; a caller may bound their number."""
+    found = _pairs(df, features).distinct()
+    rows = (found if most is None else found.limit(most + 1)).collect()
+    if most is not None and len(rows) > most:
         raise ValueError(f"more than {most} levels in {features}: consolidate them first")
     levels: dict[str, list[str]] = {f: [] for f in features}
     for r in rows:

@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import schema
 from ..functions.jitter import with_jitter
@@ -80,8 +81,12 @@ def evaluate(df: DataFrame, model: forest.Model, features: list[str], calendar:
 def train(
     df: DataFrame, calendar: Calendar, settings: Settings | None = None, log: RunLog | None = None
 ) -> Trained:
-    """Fit the preparation, measure a model on held-out rows, refit it on all rows."""
+    """Fit the preparation, measure a model on held-out rows, refit it on all rows.
+
+    Only rows with a label teach; those of the current year have none yet.
+    """
     settings = settings or Settings()
+    df = df.filter(F.col(LABEL).isNotNull())
     if settings.cohort:
         df = staged(teaching_cohort(df, calendar), "cohort")
     columns.check_grain(df, calendar)
@@ -151,30 +156,38 @@ def run(
     log = RunLog(calendar.name, run_id)
     log.add("start", f"run {run_id} for {calendar.name}")
     with released(spark):
-        df = staged(df, "input")
-        rows = df.count()
-        if rows == 0:
-            log.add("load", "no input rows, skipped", "rows", 0)
+        try:
+            return _run(spark, df, calendar, out, run_id, settings, training, trained, log)
+        except Exception as error:
+            log.add("error", f"{type(error).__name__}: {error}"[:2000])
+            raise
+        finally:
             log.save(spark, f"{out}/log")
-            return None
-        log.add("load", "rows loaded", "rows", rows)
-        if trained is None:
-            source = df if training is None else staged(training, "training")
-            trained = train(source, calendar, settings, log)
-            trained.save(spark, f"{out}/trained/{calendar.name}")
-        explained = staged(explain_rows(df, trained), "explained")
-        scored = (
-            predict(df, trained, jitter=True)
-            if settings.jitter
-            else explained.select(*calendar.grain, PROBABILITY)
-        )
-        for kind, result in (("predictions", scored), ("explanations", explained)):
-            writers.write_run(result, f"{out}/{kind}_{calendar.name}", calendar.name, run_id)
-            if settings.delimited:
-                name = run_file(kind, calendar.name, run_id)
-                writers.write_delimited(result, f"{out}/files/{name}")
-            log.add("publish", f"{kind} published")
-        log.save(spark, f"{out}/log")
+
+
+def _run(spark, df, calendar, out, run_id, settings, training, trained, log) -> Trained | None:
+    df = staged(df, "input")
+    rows = df.count()
+    if rows == 0:
+        log.add("load", "no input rows, skipped", "rows", 0)
+        return None
+    log.add("load", "rows loaded", "rows", rows)
+    if trained is None:
+        source = df if training is None else staged(training, "training")
+        trained = train(source, calendar, settings, log)
+        trained.save(spark, f"{out}/trained/{calendar.name}")
+    explained = staged(explain_rows(df, trained), "explained")
+    scored = (
+        predict(df, trained, jitter=True)
+        if settings.jitter
+        else explained.select(*calendar.grain, PROBABILITY)
+    )
+    for kind, result in (("predictions", scored), ("explanations", explained)):
+        writers.write_run(result, f"{out}/{kind}_{calendar.name}", calendar.name, run_id)
+        if settings.delimited:
+            name = run_file(kind, calendar.name, run_id)
+            writers.write_delimited(result, f"{out}/files/{name}")
+        log.add("publish", f"{kind} published")
     return trained
 
 

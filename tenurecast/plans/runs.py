@@ -9,10 +9,30 @@ from pyspark.sql import functions as F
 
 from .. import schema
 from ..functions.stamps import expired, parse_stamp
-from ..session import delete_folder
+from ..session import delete_folder, matching_folders
 from ..sources.writers import RUN_KEYS
 
 
+def flags(control: DataFrame, names: list[str]) -> DataFrame:
+    """``(NAME, VALUE)`` of each name from one pass; a missing row counts as ``FALSE``."""
+    found = control.agg(
+        *[F.max(F.when(F.col("NAME") == n, F.col("VALUE"))).alias(f"v{i}") for i, n in enumerate(names)]
+    )
+    entries = [
+        F.struct(F.lit(n).alias("NAME"), F.coalesce(f"v{i}", F.lit("FALSE")).alias("VALUE"))
+        for i, n in enumerate(names)
+    ]
+    return found.select(F.inline(F.array(*entries)))
+
+
+def may_run(flag: Column, *overrides: Column) -> Column:
+    """A raised flag, or any override, lets a run start."""
+    allowed = flag == "TRUE"
+    for override in overrides:
+        allowed = allowed | override
+    return allowed
+
+
 def gate(
     control: DataFrame,
     name: str,
@@ -21,15 +41,10 @@ def gate(
 ) -> DataFrame:
     """One row: the flag found and whether to run.
 
-    A missing row counts as ``FALSE``; a remote or test run ignores the flag.
+    A remote or test run ignores the flag.
     """
-    found = control.agg(F.max(F.when(F.col("NAME") == name, F.col("VALUE"))).alias("VALUE"))
-    flag = F.coalesce(F.col("VALUE"), F.lit("FALSE"))
-    return found.select(
-        F.lit(name).alias("NAME"),
-        flag.alias("VALUE"),
-        ((flag == "TRUE") | F.lit(remote) | F.lit(test_mode)).alias("run"),
-    )
+    run = may_run(F.col("VALUE"), F.lit(remote), F.lit(test_mode))
+    return flags(control, [name]).withColumn("run", run)
 
 
 def should_run(control: DataFrame, name: str, **options) -> bool:
@@ -94,9 +109,13 @@ def retained(manifest: DataFrame, as_of: Column, days: int = schema.RETENTION_DA
     )
 
 
-def published_runs(spark: SparkSession, path: str) -> DataFrame:
-    """Partitions of a published table, from the folder listing alone."""
-    return spark.read.parquet(path).select(*RUN_KEYS).distinct()
+def published_runs(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """(calendar, run) of every partition, from the folder names; no file is opened."""
+    found = [
+        tuple(part.split("=", 1)[1] for part in folder.rstrip("/").split("/")[-len(RUN_KEYS):])
+        for folder in matching_folders(spark, "/".join([path, *(f"{k}=*" for k in RUN_KEYS)]))
+    ]
+    return sorted(found)
 
 
 def drop_expired(
@@ -106,13 +125,9 @@ def drop_expired(
 
     One folder per run is touched, never single files or rows.
     """
+    listed = spark.createDataFrame(published_runs(spark, path), "calendar string, run_id string")
     stamp = F.try_to_timestamp("run_id", F.lit("yyyy_MM_dd_HHmmss"))
-    due = (
-        published_runs(spark, path)
-        .filter(expired(stamp, F.lit(as_of), days))
-        .orderBy(*RUN_KEYS)
-        .collect()
-    )
+    due = listed.filter(expired(stamp, F.lit(as_of), days)).orderBy(*RUN_KEYS).collect()
     for r in due:
         delete_folder(spark, f"{path}/calendar={r['calendar']}/run_id={r['run_id']}")
     return [(r["calendar"], r["run_id"]) for r in due]

@@ -89,14 +89,32 @@ def released(spark: SparkSession) -> Iterator[None]:
         del _paths[before:]
 
 
-def delete_folder(spark: SparkSession, folder: str) -> None:
+def _located(spark: SparkSession, folder: str):
+    """(file system, path) of a folder."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    files, path = _located(spark, folder)
+    files.delete(path, True)
 
 
 def folder_exists(spark: SparkSession, folder: str) -> bool:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+    files, path = _located(spark, folder)
+    return files.exists(path)
+
+
+def move_folder(spark: SparkSession, folder: str, to: str) -> None:
+    files, path = _located(spark, folder)
+    if not files.rename(path, _located(spark, to)[1]):
+        raise OSError(f"cannot move {folder} to {to}")
+
+
+def matching_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders whose names match a pattern with ``*``."""
+    files, path = _located(spark, pattern)
+    return [str(f.getPath().toString()) for f in files.globStatus(path) or [] if f.isDirectory()]
 
 
 def _release_all(spark: SparkSession) -> None:

@@ -1,13 +1,13 @@
 """Employee-year table derived from the order tables.
 
 One row per customer and calendar year. A customer "leaves" when the next year
-has no order; the last year of the data has no label and is left out.
+has no order; for the last year of the data that is unknown, so its label is null.
 
 Plan: one map-side combined aggregate over orders and one over order lines,
 both ending partitioned by (customer, year), so they join without another
 shuffle. Money is summed as whole cents in 64-bit integers, which keeps sums
-exact whatever the partitioning. Distinct counts over known small domains are
-bit masks, so the orders aggregate needs no row expansion.
+exact whatever the partitioning. Priorities and statuses are counted as sets of
+a few short strings, so the orders aggregate needs no row expansion.
 """
 
 from __future__ import annotations
@@ -22,8 +22,6 @@ RAW_TITLES = sorted(TITLE_LOOKUP) + ["INTERN"]
 RAW_INDUSTRIES = sorted(INDUSTRY_LOOKUP) + ["Agriculture"]
 BUSINESSES = 600
 
-PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-STATUSES = ["F", "O", "P"]
 MONTHS = range(1, 13)
 
 # Day and order key packed in one long, so "last order of the year" is a plain
@@ -39,11 +37,6 @@ def _cents(column: str) -> str:
     return f"bigint(rint({column} * 100))"
 
 
-def _bit_per_value(column: str, values: list[str]) -> str:
-    cases = " ".join(f"when '{v}' then {1 << i}" for i, v in enumerate(values))
-    return f"bit_count(bit_or(case {column} {cases} else 0 end))"
-
-
 def _dated_orders(spark: SparkSession, sf_dir: str, calendar: Calendar) -> DataFrame:
     shifted = f"add_months(date(o_orderdate), {calendar.shift_months})"
     return table(spark, sf_dir, "orders").selectExpr(
@@ -70,8 +63,8 @@ def _order_side(orders: DataFrame) -> DataFrame:
         "last_quota": "max(case when o_orderstatus != 'F' then mo end)",
         "payee_cents": "max(case when o_orderpriority = '1-URGENT' and o_orderstatus = 'F' "
         "then cents end)",
-        "n_priority": _bit_per_value("o_orderpriority", PRIORITIES),
-        "n_status": _bit_per_value("o_orderstatus", STATUSES),
+        "n_priority": "size(collect_set(o_orderpriority))",
+        "n_status": "size(collect_set(o_orderstatus))",
     }
     grouped = orders.groupBy("o_custkey", "y").agg(
         *[F.expr(f"{e} as {name}") for name, e in aggregates.items()]
@@ -137,11 +130,12 @@ def feature_table(spark: SparkSession, sf_dir: str, calendar: Calendar = GREGORI
     # A customer has at most one row per year, so this window stays small per key.
     history = Window.partitionBy("o_custkey").orderBy("y")
     last_year = orders.agg(F.max("y")).scalar()
+    leaves = F.coalesce(F.lead("y").over(history) != F.col("y") + 1, F.lit(True))
     labelled = per_year.select(
         "*",
         F.first("first_day").over(history).alias("hired"),
-        F.lead("y").over(history).alias("next_y"),
-    ).filter(F.col("y") < last_year)
+        F.when(F.col("y") < last_year, leaves.cast("int")).alias("leaves"),
+    )
 
     homes = (
         table(spark, sf_dir, "nation")
@@ -183,6 +177,6 @@ def feature_table(spark: SparkSession, sf_dir: str, calendar: Calendar = GREGORI
         "COUNT_UNIQ_TITLE_NAME": "bigint(n_status)",
         "COUNT_UNIQ_MGR_ID": "coalesce(n_supplier, 0)",
         "COMP_AVG_MONTH_PAYEECOUNT": "payee",
-        "TERM_NEXT_YEAR": "int(coalesce(next_y != y + 1, true))",
+        "TERM_NEXT_YEAR": "leaves",
     }
     return rows.selectExpr(*[f"{e} as {name}" for name, e in definitions.items()])

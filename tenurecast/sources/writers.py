@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import staged
+from ..session import delete_folder, folder_exists, move_folder
 
 RUN_KEYS = ["calendar", "run_id"]
 
@@ -44,14 +46,31 @@ def write_table(
 def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Replace a table, also with rows derived from itself.
 
-    The new content is stored aside first; if the second write is interrupted
-    the full content still exists there.
+    The new table is written beside the old one and takes its name only when it is whole; the
+    old one is kept until then, and put back if the last step fails.
     """
-    stored = staged(df, "replace")
-    writer = stored.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    spark = df.sparkSession
+    path = path.rstrip("/")
+    mark = uuid.uuid4().hex[:12]
+    new, old = f"{path}-new-{mark}", f"{path}-old-{mark}"
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    try:
+        writer.parquet(new)
+    except BaseException:
+        delete_folder(spark, new)
+        raise
+    had = folder_exists(spark, path)
+    if had:
+        move_folder(spark, path, old)
+    try:
+        move_folder(spark, new, path)
+    except BaseException:
+        if had:
+            move_folder(spark, old, path)
+        raise
+    if had:
+        delete_folder(spark, old)
+    spark.catalog.refreshByPath(path)
 
 
 def without(df: DataFrame, condition: Column) -> DataFrame:

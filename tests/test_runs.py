@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tenurecast.functions.stamps import parse_stamp, run_file, run_id
 from tenurecast.plans import runs
-from tenurecast.session import new_path
+from tenurecast.session import move_folder, new_path
 from tenurecast.sources import readers, writers
 
 
@@ -83,6 +83,29 @@ def test_upsert_and_delete(spark):
     assert readers.control_value(spark.read.parquet(path), "b").count() == 0
 
 
+def test_a_broken_write_leaves_the_old_table(spark, monkeypatch):
+    path = new_path(spark, "broken")
+    spark.range(3).write.parquet(path)
+    table = spark.read.parquet(path)
+    fails = F.raise_error(F.lit("broken")).cast("long").alias("id")
+    with pytest.raises(Exception, match="broken"):
+        writers.overwrite(table.select(fails), path)
+    assert spark.read.parquet(path).count() == 3
+
+    moved = []
+
+    def second_move_fails(spark_, folder, to):
+        moved.append((folder, to))
+        if len(moved) == 2:
+            raise OSError("broken")
+        move_folder(spark_, folder, to)
+
+    monkeypatch.setattr(writers, "move_folder", second_move_fails)
+    with pytest.raises(OSError, match="broken"):
+        writers.overwrite(table.filter("id > 0"), path)
+    assert spark.read.parquet(path).count() == 3
+
+
 def test_runs_are_replaced_and_dropped(spark):
     path = new_path(spark, "published")
     df = spark.createDataFrame([(1, 0.5)], "k long, p double")
@@ -90,8 +113,8 @@ def test_runs_are_replaced_and_dropped(spark):
         writers.write_run(df, path, "fiscal", run)
     assert spark.read.parquet(path).count() == 2
     assert runs.drop_expired(spark, path, datetime(2024, 1, 31)) == [("fiscal", "2024_01_01_000000")]
-    left = runs.published_runs(spark, path).collect()
-    assert [r["run_id"] for r in left] == ["2024_01_30_000000"]
+    assert runs.published_runs(spark, path) == [("fiscal", "2024_01_30_000000")]
+    assert runs.published_runs(spark, f"{path}-absent") == []
 
 
 def test_log_and_listing(spark):
