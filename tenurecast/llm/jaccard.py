@@ -9,7 +9,12 @@ overlap the similarity asks for, and what survives is verified on the exact sets
 The upper level of the tree must be an equality, or every leaf would be probed by every
 text of about its size (counts of unrelated long texts lie close in every single
 coordinate). Two sets within the similarity differ in at most ``d`` shingles, so if both
-are dealt by hash into more than ``d`` parts, one part at least is the same in both.
+are dealt by hash into more than ``d`` parts, one part at least is the same in both. Parts are made
+so many that a set fills more than ``d`` of them, so the part in common is not an empty one,
+which unrelated texts would share, too; only the few sets that fill fewer are also routed by
+their empty parts. What a set fills beyond ``d + 1`` it may leave out, as long as all sets
+leave out by the same order: the parts that most sets share go, so a passage or line that
+very many texts contain routes none of them.
 Texts that share a part are routed to one subtree; each subtree is packed into leaves of
 bounded size in order of set size and first coordinates. Leaves are joined in themselves,
 then with the first text of the subtree, then leaf with leaf where groups are still apart:
@@ -23,7 +28,9 @@ document. Copies get the least id of their group.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,22 +43,35 @@ from tenurecast.session import staged
 GROUPS = 32
 #: Texts and shingles in a leaf at most (one longer text is a leaf by itself).
 LEAF_TEXTS, LEAF_SHINGLES = 256, 200_000
-#: Ratio of the largest to the least set size of a band.
-BAND = 1.5
+#: Least ratio of the largest to the least set size of a band; never below that of two near sets.
+BAND = 1.25
 _FANOUT = 8
 
 
-def _lower_edges(largest: int) -> list[int]:
+def _lower_edges(largest: int, num: int, den: int) -> list[int]:
+    ratio = max(BAND, den / num)
     edges = [1]
     while edges[-1] <= largest:
-        edges.append(max(edges[-1] + 1, int(np.ceil(edges[-1] * BAND))))
+        edges.append(max(edges[-1] + 1, int(np.ceil(edges[-1] * ratio))))
     return edges
 
 
-def _parts(upper: int, num: int, den: int) -> tuple[int, int]:
-    """(shingles by which two sets up to this size may differ, parts to deal them into)."""
+@lru_cache(maxsize=4096)
+def _parts(lower: int, upper: int, num: int, den: int) -> tuple[int, int]:
+    """(shingles by which two sets up to ``upper`` may differ, parts to deal them into).
+
+    A set of ``lower`` shingles is expected to fill a quarter more than ``d`` parts, three
+    standard deviations included; the smallest sets, which no number suits, get twice ``d``.
+    """
     d = (den - num) * 2 * upper // (den + num)
-    return d, d + 1 + min(3, d // 6)
+    parts = d + 1
+    while parts < 2 * d + 2:
+        empty = math.exp(-lower / parts)
+        spread = math.sqrt(parts * empty * max(1 - (1 + lower / parts) * empty, 0))
+        if parts * (1 - empty) - 3 * spread > d + d // 4:
+            break
+        parts += max(1, parts // 64)
+    return d, parts
 
 
 def text_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -66,26 +86,28 @@ def text_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.nda
     return doc[first], values[first]
 
 
-def _routes(n: int, values: np.ndarray, edges: list[int], num: int, den: int) -> np.ndarray:
-    """Keys of the parts of one set, under its band and, near the edge, the next."""
+def _routes(n: int, values: np.ndarray, edges: list[int], num: int, den: int) -> tuple[np.ndarray, list[int]]:
+    """Keys of the parts of one set, under its band and, near the edge, the next, and how
+    many of each band's it may leave out. The lowest bit of a key is that of its band."""
     band = int(np.searchsorted(edges, n, "right")) - 1
-    found = []
+    found, spare = [], [0, 0]
     for b in (band, band + 1):
         if b > band and num * edges[b] > den * n:
             continue
-        d, parts = _parts(edges[b + 1] - 1, num, den)
+        d, parts = _parts(-(-num * edges[b] // den), edges[b + 1] - 1, num, den)
         if not d:  # only equal sets are within the similarity
             continue
         place = ((values >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
         total = np.zeros(parts, np.uint64)
         np.add.at(total, place, values * np.uint64(0xD6E8FEB86659FD93))
-        used = np.bincount(place, minlength=parts) > 0
-        if used.sum() > d:  # else an empty part may be the only one in common
-            keep = np.flatnonzero(used)
-        else:
+        keep = np.flatnonzero(np.bincount(place, minlength=parts))
+        if len(keep) > d:
+            spare[b % 2] = len(keep) - d - 1
+        else:  # an empty part may be the only one in common
             keep = np.arange(parts)
-        found.append(mix(total[keep] ^ mix(np.uint64(b << 40) + keep.astype(np.uint64))))
-    return np.concatenate(found) if found else np.empty(0, np.uint64)
+        keys = mix(total[keep] ^ mix(np.uint64(b << 40) + keep.astype(np.uint64)))
+        found.append(keys & ~np.uint64(1) | np.uint64(b % 2))
+    return np.concatenate(found) if found else np.empty(0, np.uint64), spare
 
 
 def _points(width: int, num: int, den: int):
@@ -95,12 +117,14 @@ def _points(width: int, num: int, den: int):
             doc, values = text_sets(data, offsets, width)
             n = np.bincount(doc, minlength=rows)
             at = np.concatenate([[0], np.cumsum(n)])
-            edges = _lower_edges(2 * int(n.max(initial=1)))
+            edges = _lower_edges(2 * int(n.max(initial=1)) * den // num, num, den)
             sums = [np.zeros(rows, np.uint64), np.zeros(rows, np.uint64)]
             for k, s in enumerate(sums):
                 np.add.at(s, doc, mix(values + np.uint64(k + 1)))
             vector = np.bincount(doc * GROUPS + (values >> np.uint64(59)).astype(np.int64), minlength=rows * GROUPS)
-            routes = [_routes(int(n[i]), values[at[i] : at[i + 1]], edges, num, den) if n[i] else np.empty(0, np.uint64) for i in range(rows)]
+            routed = [_routes(int(n[i]), values[at[i] : at[i + 1]], edges, num, den) if n[i] else (np.empty(0, np.uint64), [0, 0]) for i in range(rows)]
+            routes = [r[0] for r in routed]
+            spare = np.array([r[1] for r in routed], np.int32).reshape(-1)
             cuts = np.concatenate([[0], np.cumsum([len(r) for r in routes])])
             yield pa.RecordBatch.from_arrays(
                 [
@@ -110,8 +134,9 @@ def _points(width: int, num: int, den: int):
                     longs(sums[1]),
                     pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * GROUPS, pa.int32()), pa.array(vector, pa.int32())),
                     pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), longs(np.concatenate(routes) if routes else np.empty(0, np.uint64))),
+                    pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * 2, pa.int32()), pa.array(spare, pa.int32())),
                 ],
-                names=["doc_id", "n", "f1", "f2", "point", "routes"],
+                names=["doc_id", "n", "f1", "f2", "point", "routes", "spare"],
             )
 
     return run
@@ -204,14 +229,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 4, den: int = 5,
     """(doc_id, n_shingles, component_id) per row, linked where Jaccard >= ``num / den``."""
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     points = staged(
-        docs.mapInArrow(_points(width, num, den), "doc_id long, n long, f1 long, f2 long, point array<int>, routes array<long>"),
+        docs.mapInArrow(_points(width, num, den), "doc_id long, n long, f1 long, f2 long, point array<int>, routes array<long>, spare array<int>"),
         "jaccard-points",
     )
     same = ["n", "f1", "f2"]
     classes = points.filter("n > 0 and doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
     classes = staged(classes, "jaccard-classes")
     first = points.join(classes.drop("copies").hint("merge"), [*same, "doc_id"], "left_semi")
-    routed = first.select("doc_id", F.explode("routes").alias("route"))
+    band = F.col("route").bitwiseAND(F.lit(1))
+    routed = first.select("doc_id", "spare", F.explode("routes").alias("route"))
+    routed = routed.select("doc_id", "route", F.get("spare", band.cast("int")).alias("spare"))
+    routed = routed.withColumn("sharers", F.count("*").over(Window.partitionBy("route"))).filter("sharers > 1")
+    # The parts that most sets share are left out, as many as a set can spare.
+    commonest = Window.partitionBy("doc_id", band).orderBy(F.desc("sharers"), F.desc("route"))
+    routed = routed.withColumn("rank", F.row_number().over(commonest)).filter("rank > spare")
     leader = F.first("doc_id").over(Window.partitionBy("route").orderBy("doc_id"))
     shared = routed.withColumn("leader", leader).filter("leader <> doc_id").select("doc_id", "leader")
     subtrees = components(shared, "jaccard-subtrees")

@@ -241,6 +241,24 @@ def brute_components(texts, width, num, den):
     return {d: (len(sets[d]), find(d)) for d in docs}
 
 
+@pytest.mark.parametrize("num, den", [(4, 5), (9, 10), (1, 2)])
+def test_near_duplicates_share_a_passage(spark, num, den):
+    """A passage in every text hides no link and makes none."""
+    random = np.random.default_rng(5)
+    word = lambda n: [f"w{i}" for i in random.integers(0, 3000, n)]
+    passage, rows = word(12), {}
+    for _ in range(40):
+        base = word(int(random.integers(20, 200)))
+        for edits in (0, 1, 2, 4, 8):
+            copy = list(base)
+            for place in random.integers(0, len(copy), edits):
+                copy[place] = word(1)[0]
+            rows[len(rows)] = " ".join([*copy[: len(copy) // 2], *passage, *copy[len(copy) // 2 :]])
+    docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    got = jaccard.near_duplicates(docs, 5, num, den).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows, 5, num, den)
+
+
 @pytest.mark.parametrize("leaf", [256, 2])
 def test_near_duplicates(spark, monkeypatch, leaf):
     """Small leaves make groups span many of them."""
