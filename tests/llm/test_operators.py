@@ -76,6 +76,30 @@ def test_plan_holds_every_piece_once():
     assert packing.plan({}) == []
 
 
+@pytest.mark.parametrize(
+    "counts, most",
+    [
+        ({2100: 1000, 1996: 1000, 1050: 1000}, 1334),  # fullest fills: 1500
+        ({2148: 6000, 1224: 6000, 1124: 6000, 824: 12000}, 9000),  # best fit decreasing: 11000
+        ({n: 150 + n % 7 * 40 for n in (411, 533, 689, 777, 905, 1012, 1190, 1301, 1444, 1603, 1777, 1999, 2222)}, None),
+    ],
+)
+def test_plan_of_few_lengths(counts, most):
+    """Near the optimum where fullest fills or best fit waste room; the program's bound holds."""
+    chosen = packing.plan(counts)
+    held = collections.Counter()
+    for fill, copies in chosen:
+        assert sum(n * m for n, m in fill) <= 4096
+        for n, m in fill:
+            held[n] += m * copies
+    assert held == counts
+    solution, bound = packing.configuration(counts, 4096)
+    used = sum(c for _, c in chosen)
+    assert bound - 1e-6 <= used <= (most or sum(solution.values()) + len(counts))
+    for n, c in counts.items():
+        assert sum(x * dict(fill).get(n, 0) for fill, x in solution.items()) >= 0.98 * c
+
+
 def test_odd_words_encode_alike():
     path = public_tokenizers.path("word_bpe_49k.json")
     tokenizer = Tokenizer.from_file(path)
