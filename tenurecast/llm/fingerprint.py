@@ -1,7 +1,7 @@
 """Document fingerprints: a homomorphic multiset hash of paragraphs.
 
 A paragraph (a line) is hashed to a wide vector: ``LANES`` signed counts of its three-word
-shingles modulo 2**16, and ``CHECKS`` hashes of the whole line modulo 2**64. A text's
+shingles modulo 2**32 (no text has so many words that they wrap), and ``CHECKS`` hashes of the whole line modulo 2**64. A text's
 fingerprint is the sum over its paragraphs, so their order does not matter, and paragraphs
 are inserted or deleted by adding or subtracting their vectors. Two texts of equal
 paragraphs have equal fingerprints; the likeness of two fingerprints is the cosine of the
@@ -28,7 +28,7 @@ LANES, CHECKS = 256, 4
 
 
 def vectors(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(counts modulo 2**16, line hashes modulo 2**64) of each text, one row each."""
+    """(counts modulo 2**32, line hashes modulo 2**64) of each text, one row each."""
     data, offsets = text_buffer(pa.array(texts, pa.large_string()))
     breaks = np.flatnonzero(data == 10)
     starts = np.sort(np.concatenate([offsets[:-1], breaks + 1]), kind="stable")
@@ -45,7 +45,7 @@ def vectors(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     place = owner[line] * LANES + (found % np.uint64(LANES)).astype(np.int64)
     sign = np.where((found >> np.uint64(40)) & np.uint64(1), 1.0, -1.0)
     counts = np.bincount(place, weights=sign, minlength=len(texts) * LANES).reshape(-1, LANES)
-    return counts.astype(np.int64).astype(np.uint16), checks.T.copy()
+    return counts.astype(np.int64).astype(np.uint32), checks.T.copy()
 
 
 def add(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -59,13 +59,13 @@ def remove(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -
 
 
 def written(counts: np.ndarray, checks: np.ndarray) -> str:
-    return counts.astype("<u2").tobytes().hex() + checks.astype("<u8").tobytes().hex()
+    return counts.astype("<u4").tobytes().hex() + checks.astype("<u8").tobytes().hex()
 
 
 def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     if np.array_equal(a[0], b[0]) and np.array_equal(a[1], b[1]):
         return 1.0
-    x, y = (v[0].astype(np.int16).astype(float) for v in (a, b))
+    x, y = (v[0].astype(np.int32).astype(float) for v in (a, b))
     size = np.sqrt((x @ x) * (y @ y))
     return float(min(max(x @ y / size, 0.0), 1.0)) if size else 0.0
 

@@ -172,6 +172,17 @@ def test_fingerprints(spark, small, texts):
     assert fingerprint.written(*fingerprint.remove(both, b)) == fingerprint.written(*a)
 
 
+@pytest.mark.parametrize("unit", ["word ", "the same line again\n"])
+def test_likeness_of_long_repetitive_texts(unit):
+    """Counts far above 2**15 do not wrap."""
+    text = unit * 40000
+    counts, checks = fingerprint.vectors([text, fingerprint.edited(text, "other text " * 20), "a b c d e"])
+    whole, half, other = zip(counts, checks, strict=True)
+    assert fingerprint.likeness(whole, half) > 0.99 and fingerprint.likeness(whole, other) < 0.5
+    twice = fingerprint.add(half, other)
+    assert fingerprint.written(*fingerprint.remove(twice, other)) == fingerprint.written(*half)
+
+
 def test_pieces():
     path = public_tokenizers.path("piece_bpe_32k.model")
     own, model = pieces.lattice(path), sentencepiece.SentencePieceProcessor(model_file=path)
