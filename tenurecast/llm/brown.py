@@ -1,11 +1,13 @@
 """LM scoring with Brown class-based n-grams.
 
 P(word | word before) = P(class | class before) * P(word | class). Words are known by a
-64-bit hash. Those that make up at least ``FREQUENT`` of the training tokens (a bounded
-number, whatever the corpus) get classes by exchange clustering: words move, one after the
-other, to the class where the likelihood of the class bigrams grows most. All others are
-put in one of ``RARE_CLASSES`` by their hash. Counts of all words and all class bigrams come
-from all training texts; only matrices of bounded size reach the driver.
+64-bit hash. All that occur ``LEAST`` times in training get classes by exchange clustering,
+in turns until the likelihood of the class bigrams settles: those with at least a share
+``FREQUENT`` of the tokens (a bounded number) move one after the other on the driver, all
+others in Spark, each to the class that is best for the matrix of class bigrams. Contexts,
+counts and classes of the latter are Spark tables that grow with the corpus. Words below
+``LEAST`` and unseen ones are put in one of ``RARE_CLASSES`` by their hash. Only matrices of
+bounded size reach the driver.
 
 Both factors are smoothed: transitions by a share of the class's own frequency, emissions
 by one count for every word of the class and one for an unseen word.
@@ -22,16 +24,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenurecast.llm.common import chunks, fold, longs, table, text_buffer, words
 from tenurecast.session import staged
 
-#: Share of the tokens from which a word is clustered, and the numbers of classes.
-FREQUENT, CLASSES, RARE_CLASSES = 1 / 16384, 32, 8
-#: Sweeps of the exchange over all frequent words.
-SWEEPS = 4
+#: Occurrences from which a word is clustered, the share of the tokens from which it is so on
+#: the driver, and the numbers of classes.
+LEAST, FREQUENT, CLASSES, RARE_CLASSES = 5, 1 / 16384, 32, 8
+#: Relative gain of likelihood under which it has settled; half sweeps over the frequent words
+#: in a turn, and turns, at most.
+SETTLED, SWEEPS, TURNS = 0.001, 12, 6
 #: Share of a transition that comes from the class's own frequency.
 BACKOFF = 0.05
 #: Stands for the end of a text.
@@ -55,7 +60,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _encode(frequent):
-    """Token classes of every row: frequent words by number, rare ones by hash class."""
+    """Tokens of every row: frequent words by number, others by hash, with word and place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = frequent.value
@@ -63,26 +68,21 @@ def _encode(frequent):
             doc, hashes = _tokens(part, data, offsets)
             at = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))
             common = known[at] == hashes if len(known) else np.zeros(len(hashes), bool)
-            ids = np.where(common, at, len(known) + (hashes % np.uint64(RARE_CLASSES)).astype(np.int64)).astype("<u2")
+            ids = np.where(common, at, len(known) + (hashes % np.uint64(CLASSES)).astype(np.int64)).astype("<u2")
             cuts = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=part.num_rows))])
-            rare, n = doc[~common], hashes[~common]
-            order = np.lexsort((n, rare))
-            rare, n = rare[order], n[order]
-            first = np.ones(len(n), bool)
-            first[1:] = (rare[1:] != rare[:-1]) | (n[1:] != n[:-1])
-            heads = np.flatnonzero(first)
-            times = np.diff(np.append(heads, len(n)))
-            rare_cuts = pa.array(np.searchsorted(rare[heads], np.arange(part.num_rows + 1)), pa.int32())
+            rare = doc[~common]
+            place = np.flatnonzero(~common) - cuts[rare]
+            rare_cuts = pa.array(np.searchsorted(rare, np.arange(part.num_rows + 1)), pa.int32())
             raw = ids.tobytes()
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"),
                     part.column("held_out"),
                     pa.array([raw[2 * a : 2 * b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
-                    pa.ListArray.from_arrays(rare_cuts, longs(n[heads])),
-                    pa.ListArray.from_arrays(rare_cuts, pa.array(times, pa.int32())),
+                    pa.ListArray.from_arrays(rare_cuts, longs(hashes[~common])),
+                    pa.ListArray.from_arrays(rare_cuts, pa.array(place, pa.int32())),
                 ],
-                names=["doc_id", "held_out", "ids", "rare", "times"],
+                names=["doc_id", "held_out", "ids", "rare", "place"],
             )
 
     return run
@@ -164,6 +164,108 @@ def exchange(right: np.ndarray, left: np.ndarray, same: np.ndarray, kind: np.nda
     return kind
 
 
+def likelihood(m: np.ndarray) -> float:
+    """Of the class bigrams, but for a part that no move changes."""
+    return float(_f(m).sum() - _f(m.sum(axis=1)).sum() - _f(m.sum(axis=0)).sum())
+
+
+def _neighbours(classes, total: int):
+    """(word, context, n) of one task's chunks for all words that are not frequent.
+
+    A context is the class after the word, or ``total`` and the class before it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = classes.value
+        for batch in batches:
+            ids, before, starts = _stream(batch.column("ids"), own["end"])
+            kind = own["class"]
+            rare, place = batch.column("rare"), batch.column("place")
+            word = rare.flatten().to_numpy(zero_copy_only=False)
+            at = place.flatten().to_numpy(zero_copy_only=False) + np.repeat(starts, np.diff(rare.offsets.to_numpy()))
+            # A row ends in the end token, so every other token has one after it.
+            pairs = np.concatenate([kind[ids[at + 1]], total + kind[before[at]]])
+            word = np.concatenate([word, word])
+            order = np.lexsort((pairs, word))
+            word, pairs = word[order], pairs[order]
+            first = np.ones(len(word), bool)
+            first[1:] = (word[1:] != word[:-1]) | (pairs[1:] != pairs[:-1])
+            heads = np.flatnonzero(first)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(word[heads]), pa.array(pairs[heads], pa.int32()), pa.array(np.diff(np.append(heads, len(word))), pa.int64())],
+                names=["word", "context", "n"],
+            )
+
+    return run
+
+
+def best_classes(m: np.ndarray, right: np.ndarray, left: np.ndarray, old: np.ndarray, classes: int) -> np.ndarray:
+    """The class of each word that is best for the class bigrams, all other words unmoved.
+
+    ``old`` is the class whose counts in ``m`` hold the word now.
+    """
+    best = np.empty(len(right), np.int64)
+    for w in range(len(right)):
+        r, c, o = right[w], left[w], old[w]
+        to, come = np.flatnonzero(r), np.flatnonzero(c)
+        rows, cols = m[:classes, to].copy(), m[come, :classes].copy()
+        out, into = m[:classes].sum(axis=1), m[:, :classes].sum(axis=0)
+        if o < classes:
+            rows[o] -= r[to]
+            cols[:, o] -= c[come]
+            out[o] -= r.sum()
+            into[o] -= c.sum()
+        rows, cols = np.maximum(rows, 0), np.maximum(cols, 0)
+        gain = (_f(rows + r[to]) - _f(rows)).sum(axis=1) + (_f(cols + c[come, None]) - _f(cols)).sum(axis=0)
+        out, into = np.maximum(out, 0), np.maximum(into, 0)
+        gain -= _f(out + r.sum()) - _f(out) + _f(into + c.sum()) - _f(into)
+        best[w] = gain.argmax()
+        if o < classes and gain[best[w]] <= gain[o] + 1e-9:
+            best[w] = o
+    return best
+
+
+def _move(shared, total: int, turn: int):
+    """All words move in the first turn, half of them, by hash, in each later one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for batch in batches:
+            contexts = batch.column("contexts")
+            size = np.diff(contexts.offsets.to_numpy())
+            pairs = contexts.flatten()
+            sums = np.zeros((batch.num_rows, 2 * total))
+            owner = np.repeat(np.arange(batch.num_rows), size)
+            np.add.at(sums, (owner, pairs.field("context").to_numpy(zero_copy_only=False)), pairs.field("n").to_numpy(zero_copy_only=False))
+            old = batch.column("cls").to_numpy(zero_copy_only=False)
+            turns = (batch.column("word").to_numpy(zero_copy_only=False) >> 20) % 2 == turn % 2
+            moving = np.flatnonzero(turns | (turn == 0))
+            new = old.copy()
+            new[moving] = best_classes(m, sums[moving, :total], sums[moving, total:], old[moving], CLASSES)
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("c"), pa.array(new, pa.int32())], names=["word", "c", "cls"])
+
+    return run
+
+
+def _settle_ids(first: int, names: list[str]):
+    """Rows with the ids of moved tokens replaced by those that stand for their classes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text_buffer(batch.column("ids"))
+            ids = data.view("<u2").copy()
+            moved = batch.column("moved")
+            size = np.nan_to_num(pa.compute.list_value_length(moved).to_numpy(zero_copy_only=False)).astype(np.int64)
+            pairs = moved.flatten()
+            at = np.repeat(offsets[:-1] // 2, size) + pairs.field("place").to_numpy(zero_copy_only=False)
+            ids[at] = first + pairs.field("cls").to_numpy(zero_copy_only=False)
+            raw = ids.tobytes()
+            new = pa.array([raw[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary())
+            yield pa.RecordBatch.from_arrays([new if c == "ids" else batch.column(c) for c in names], names=names)
+
+    return run
+
+
 def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model.value
@@ -175,9 +277,9 @@ def _score(model):
             n = np.diff(np.append(starts, len(ids)))
             known = total(own["common"][ids])
             score, plain = total(step[kind[before], c] + emit[ids]), total(base[ids])
-            names = ["row", "doc_id", "held_out", "n_tokens", "known", "score", "base"]
+            names = ["row", "doc_id", "held_out", "more_known", "gain", "n_tokens", "known", "score", "base"]
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(x) for x in names[:3]], pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(score, pa.float64()), pa.array(plain, pa.float64())],
+                [*[batch.column(x) for x in names[:5]], pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(score, pa.float64()), pa.array(plain, pa.float64())],
                 names=names,
             )
 
@@ -195,26 +297,30 @@ def score_texts(docs: DataFrame, held_out, key: str = "doc_id", text: str = "tex
     n, v = (int(x or 0) for x in counts.agg(F.sum("n"), F.count("*")).first())
     end = int(END.astype(np.int64))
     # At most 1 / FREQUENT words have such a share.
-    common = counts.filter((F.col("n") >= max(1.0, n * FREQUENT)) | (F.col("word") == end)).collect()
+    common = counts.filter((F.col("n") >= max(LEAST, n * FREQUENT)) | (F.col("word") == end)).collect()
     number = dict(sorted((int(np.int64(r["word"]).astype(np.uint64)), r["n"]) for r in common))
     number.setdefault(int(END), 0)
     known = np.array(sorted(number), np.uint64)
-    encoded = docs.mapInArrow(_encode(context.broadcast(known)), "doc_id long, held_out boolean, ids binary, rare array<long>, times array<int>")
+    encoded = docs.mapInArrow(_encode(context.broadcast(known)), "doc_id long, held_out boolean, ids binary, rare array<long>, place array<int>")
     encoded = staged(encoded.select(F.monotonically_increasing_id().alias("row"), "*"), "brown-encoded")
 
-    # Classes: 0 .. CLASSES - 1 by exchange, then the rare ones, then the end.
+    # Classes: 0 .. CLASSES - 1 by exchange, then the rare ones, then the end. Ids: frequent
+    # words, hashes of others (dealt to all classes until words have their own), and one for
+    # all other words of each class.
     f, total = len(known), CLASSES + RARE_CLASSES + 1
-    kinds = f + RARE_CLASSES
+    other = f + CLASSES
+    kinds = other + CLASSES
     end_id = np.searchsorted(known, [END])
     often = np.array([number[int(w)] for w in known], float)
     kind = np.empty(kinds, np.int64)
     kind[np.argsort(-often, kind="stable")] = np.arange(f) % CLASSES
-    kind[f:] = CLASSES + np.arange(RARE_CLASSES)
+    kind[f:other] = np.arange(CLASSES)
+    kind[other:] = np.arange(CLASSES)
     kind[end_id] = total - 1
     fixed = np.zeros(kinds, bool)
     fixed[f:] = fixed[end_id] = True
 
-    def contexts(kind: np.ndarray):
+    def contexts(encoded: DataFrame, kind: np.ndarray):
         shared = context.broadcast({"class": kind, "end": end_id})
         rows = encoded.filter(~F.coalesce("held_out", F.lit(False))).select("ids").mapInArrow(
             _contexts(shared, kinds, total), "id long, same long, context array<long>"
@@ -227,24 +333,81 @@ def score_texts(docs: DataFrame, held_out, key: str = "doc_id", text: str = "tex
             right[r[0]], left[r[0]], same[r[0]] = values[:total], values[total:], r[1]
         return right, left, same
 
-    for sweep in range(SWEEPS):
-        right, left, same = contexts(kind)
-        kind = exchange(right, left, same, kind, fixed, CLASSES, sweep % 2)
-    right, left, same = contexts(kind)
-
-    m = np.zeros((total, total))
-    np.add.at(m, kind, right)
+    def bigrams(right: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        m = np.zeros((total, total))
+        np.add.at(m, kind, right)
+        return m
+
+    def exchanged(encoded: DataFrame, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Classes of the frequent words after sweeps until settled, and their class bigrams."""
+        right, left, same = contexts(encoded, kind)
+        best, m = kind, bigrams(right, kind)
+        start = likelihood(m)
+        for sweep in range(SWEEPS):
+            kind = exchange(right, left, same, kind, fixed, CLASSES, sweep % 2)
+            right, left, same = contexts(encoded, kind)
+            now = bigrams(right, kind)
+            if likelihood(now) > likelihood(m):
+                best, m = kind, now
+            if sweep % 2:
+                if likelihood(m) - start <= SETTLED * abs(start):
+                    break
+                start = likelihood(m)
+        return best, m
+
+    def placed(others: DataFrame, carried: list[str]) -> DataFrame:
+        """Rows with the classes of other words, and what their own counts add."""
+        pair = F.inline(F.arrays_zip(F.col("rare").alias("word"), "place"))
+        met = encoded.select("row", pair).join(others, "word")
+        moved = F.when(F.col("cls") < CLASSES, F.struct("place", "cls"))
+        found = met.groupBy("row").agg(F.count("*").alias("more_known"), F.sum(F.log10(F.col("c") + 1)).alias("gain"), F.collect_list(moved).alias("moved"))
+        names = ["row", "doc_id", "held_out", "ids", "more_known", "gain", *carried]
+        rows = encoded.select("row", "doc_id", "held_out", "ids", *carried).join(found, "row", "left")
+        kinds_of = {"row": "long", "doc_id": "long", "held_out": "boolean", "ids": "binary", "more_known": "long", "gain": "double", "rare": "array<long>", "place": "array<int>"}
+        return rows.mapInArrow(_settle_ids(other, names), ", ".join(f"{c} {kinds_of[c]}" for c in names))
+
+    # All other words, in the class that their hash gives until they have one of their own.
+    mine = F.broadcast(spark.createDataFrame([(int(np.uint64(w).astype(np.int64)),) for w in known], "word long"))
+    bucket = lambda k: F.pmod(F.col("word"), F.lit(k)).cast("int")
+    others = counts.join(mine, "word", "left_anti").select("word", F.col("n").alias("c"))
+    growing = others.filter(F.col("c") >= LEAST).withColumn("cls", bucket(CLASSES))
+    alone = others.filter(F.col("c") < LEAST).withColumn("cls", bucket(RARE_CLASSES) + CLASSES)
+    some = not growing.isEmpty()
+    now, best = encoded, None
+    for turn in range(TURNS):
+        if turn == 1 or not some:
+            kind[f:other] = CLASSES + np.arange(CLASSES) % RARE_CLASSES
+        kind, m = exchanged(now, kind)
+        value = likelihood(m)
+        if turn > 1 and value <= best[0]:
+            break
+        settled = turn > 1 and value - best[0] <= SETTLED * abs(best[0])
+        best = (value, kind, growing)
+        if settled or not some or turn == TURNS - 1:
+            break
+        shared = context.broadcast({"class": kind, "end": end_id})
+        near = now.filter(~F.coalesce("held_out", F.lit(False))).select("ids", "rare", "place").mapInArrow(
+            _neighbours(shared, total), "word long, context int, n long"
+        )
+        sums = near.repartition("word").groupBy("word", "context").agg(F.sum("n").alias("n"))
+        sums = sums.groupBy("word").agg(F.collect_list(F.struct("context", "n")).alias("contexts"))
+        moves = growing.join(sums, "word").select("word", "c", "cls", "contexts")
+        moves = moves.mapInArrow(_move(context.broadcast(m), total, turn), "word long, c long, cls int")
+        growing = staged(moves, "brown-classes")
+        now = staged(placed(growing.union(alone), ["rare", "place"]), "brown-placed")
+    _, kind, growing = best
+    others = growing.union(alone)
+    done = staged(placed(others, []), "brown-done")
+    m = bigrams(contexts(done, kind)[0], kind)
     into = m.sum(axis=0) + 1
     share = into / into.sum()
     step = np.log10((1 - BACKOFF) * (m + share) / (m.sum(axis=1, keepdims=True) + 1) + BACKOFF * share)
     # Words and tokens of each class; a rare class also has room for an unseen word.
     in_class = np.bincount(kind[:f], weights=often, minlength=total)
     size = np.bincount(kind[:f], minlength=total).astype(float)
-    rare = counts.join(F.broadcast(spark.createDataFrame([(int(np.uint64(w).astype(np.int64)),) for w in known], "word long")), "word", "left_anti")
-    bucket = F.pmod(F.col("word") + F.lit(0), F.lit(RARE_CLASSES))
-    for r in rare.groupBy(bucket.alias("b")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():
-        in_class[CLASSES + r["b"]] += r["n"]
-        size[CLASSES + r["b"]] += r["v"]
+    for r in others.groupBy("cls").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():
+        in_class[r["cls"]] += r["n"]
+        size[r["cls"]] += r["v"]
     emit = np.zeros(kinds)
     emit[:f] = np.log10((often + 1) / (in_class + size + 1)[kind[:f]])
     emit[f:] = -np.log10((in_class + size + 1)[kind[f:]])  # the word's own count is added below
@@ -253,18 +416,10 @@ def score_texts(docs: DataFrame, held_out, key: str = "doc_id", text: str = "tex
     is_common = np.zeros(kinds, np.int64)
     is_common[:f] = often > 0
     shared = context.broadcast({"class": kind, "step": step, "emit": emit, "base": base, "common": is_common, "end": end_id})
-    scored = encoded.select("row", "doc_id", "held_out", "ids").mapInArrow(
-        _score(shared), "row long, doc_id long, held_out boolean, n_tokens long, known long, score double, base double"
-    )
-
-    # Rare words meet their counts: one row per text and word, summed up again per text.
-    pair = F.inline(F.arrays_zip(F.col("rare").alias("word"), F.col("times").alias("times")))
-    met = encoded.select("row", pair).join(counts.withColumnRenamed("n", "c"), "word")
-    gains = met.groupBy("row").agg(
-        F.sum("times").alias("more_known"),
-        F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("gain"),
+    joined = done.mapInArrow(
+        _score(shared),
+        "row long, doc_id long, held_out boolean, more_known long, gain double, n_tokens long, known long, score double, base double",
     )
-    joined = scored.join(gains, "row", "left")
     gain = F.coalesce("gain", F.lit(0.0))
     return joined.select(
         "doc_id",

@@ -328,6 +328,21 @@ def test_class_ngrams(spark, small, texts):
     assert sum(r.score for r in out) > sum(r.base_score for r in out)
 
 
+def test_seldom_words_are_clustered(spark, monkeypatch):
+    """Words under the driver's share get classes too: two kinds of words in turn, all seldom."""
+    monkeypatch.setattr(brown, "FREQUENT", 0.5)
+    random = np.random.default_rng(2)
+    rows = []
+    for i in range(400):
+        a, b = random.integers(0, 100, 30), random.integers(0, 100, 30)
+        rows.append((i, " ".join(f"a{x} b{y}" for x, y in zip(a, b, strict=True))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = brown.score_texts(docs, F.col("doc_id") % 5 == 0).filter("held_out").collect()
+    # The kind of the next word is known, so every word is nearly twice as likely.
+    gain = sum(r.score - r.base_score for r in got) / sum(r.n_tokens for r in got)
+    assert gain > 0.25
+
+
 def test_language(spark, small):
     got = queries.QUERIES["op10_language_id"](spark, small)
     docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "lang")
