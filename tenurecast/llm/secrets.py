@@ -3,7 +3,7 @@
 Base findings stand by themselves. Weak candidates (short access identifiers, named
 identifiers, bare 40-character values, endpoints) are reported only where a complementary
 part lies within ``REACH`` code points: an identifier beside a secret, a secret beside an
-identifier, an endpoint beside a certain identifier or secret. The parts of a text are
+identifier, an endpoint beside a base finding or a weak part that is itself linked. The parts of a text are
 joined as intervals by two running windows over their places, the nearest before and the
 nearest after, so a text with many parts lists no pairs.
 
@@ -124,23 +124,19 @@ def scan(docs: DataFrame, text: str = "text", kept: list[str] | None = None) ->
     before = Window.partitionBy("uid").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, 0)
     after = Window.partitionBy("uid").orderBy(F.desc("start"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, 0)
 
-    def near(kinds: list[str]) -> Column:
-        mine = F.col("kind").isin(*[KINDS.index(k) for k in kinds])
+    is_kind = lambda *ks: F.col("kind").isin(*[KINDS.index(k) for k in ks])
+
+    def near(mine: Column) -> Column:
         last = F.max(F.when(mine, F.col("end"))).over(before)
         following = F.min(F.when(mine, F.col("start"))).over(after)
         return F.coalesce(F.col("start") - last <= REACH, F.lit(False)) | F.coalesce(following - F.col("end") <= REACH, F.lit(False))
 
-    role = lambda r: [k for k in KINDS if _ROLE[k] == r]
-    linked = parts.withColumns(
-        {"by_id": near(role("id")), "by_secret": near(role("secret")), "by_certain": near(["assign", "access", "hex"])}
-    )
-    is_kind = lambda *ks: F.col("kind").isin(*[KINDS.index(k) for k in ks])
-    reported = (
-        is_kind(*BASE)
-        | (is_kind("access_id", "named_id") & F.col("by_secret"))
-        | (is_kind("value") & F.col("by_id"))
-        | (is_kind("endpoint") & F.col("by_certain"))
-    )
+    role = lambda r: is_kind(*[k for k in KINDS if _ROLE[k] == r])
+    linked = parts.withColumns({"by_id": near(role("id")), "by_secret": near(role("secret"))})
+    sure = is_kind(*BASE) | (is_kind("access_id", "named_id") & F.col("by_secret")) | (is_kind("value") & F.col("by_id"))
+    linked = linked.withColumn("sure", sure)
+    linked = linked.withColumn("by_sure", near(F.col("sure")))
+    reported = F.col("sure") | (is_kind("endpoint") & F.col("by_sure"))
     spans = F.sort_array(F.collect_list(F.when(reported, F.col("part"))))
     return linked.groupBy("uid").agg(F.max_by("row", F.col("row").isNotNull()).alias("row"), spans.alias("spans")).drop("uid")
 

@@ -140,6 +140,22 @@ def test_secret_links_and_redaction(spark):
     assert clean[3] == rows[2][1] and clean[2] == "[ACCESS_ID] and [VALUE]" and "aaaa" not in clean[6]
 
 
+def test_endpoint_of_a_weak_credential(spark):
+    """An endpoint beside an id and a value that are linked with each other only."""
+    value = "aB3/" * 10
+    rows = [
+        (1, f"client_id=abcde {value} https://a.b/c"),
+        (2, f"https://a.b/c {'x ' * 150} client_id=abcde {value}"),
+        (3, f"client_id=abcde {'x ' * 150} {value} https://a.b/c"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.row.doc_id: r.w for r in secrets.scan(docs).withColumn("w", secrets.written(F.col("spans"))).collect()}
+    assert got[1] == "named_id:0:15,value:16:56,endpoint:57:70" and got[3] == ""
+    assert got[2] == "named_id:315:330,value:331:371"
+    clean = {r.doc_id: r.text for r in secrets.redacted(docs).collect()}
+    assert clean[1] == "[NAMED_ID] [VALUE] [ENDPOINT]"
+
+
 def test_warc(spark, tmp_path):
     rows = [
         (1, "http://a/ b\n", "é" * 600), (2, None, "é" * 600), (3, "u", None), (4, "u", ""),
