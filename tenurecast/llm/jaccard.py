@@ -43,6 +43,8 @@ from tenurecast.session import staged
 GROUPS = 32
 #: Texts and shingles in a leaf at most (one longer text is a leaf by itself).
 LEAF_TEXTS, LEAF_SHINGLES = 256, 200_000
+#: Leaves of a subtree in a block, about; one join key holds the pairs of two blocks.
+LEAF_BLOCK = 256
 #: Least ratio of the largest to the least set size of a band; never below that of two near sets.
 BAND = 1.25
 _FANOUT = 8
@@ -239,12 +241,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 4, den: int = 5,
     band = F.col("route").bitwiseAND(F.lit(1))
     routed = first.select("doc_id", "spare", F.explode("routes").alias("route"))
     routed = routed.select("doc_id", "route", F.get("spare", band.cast("int")).alias("spare"))
-    routed = routed.withColumn("sharers", F.count("*").over(Window.partitionBy("route"))).filter("sharers > 1")
+    sharers = routed.groupBy("route").agg(F.count("*").alias("sharers")).filter("sharers > 1")
+    routed = routed.join(sharers, "route")
     # The parts that most sets share are left out, as many as a set can spare.
     commonest = Window.partitionBy("doc_id", band).orderBy(F.desc("sharers"), F.desc("route"))
     routed = routed.withColumn("rank", F.row_number().over(commonest)).filter("rank > spare")
-    leader = F.first("doc_id").over(Window.partitionBy("route").orderBy("doc_id"))
-    shared = routed.withColumn("leader", leader).filter("leader <> doc_id").select("doc_id", "leader")
+    routed = staged(routed.select("doc_id", "route"), "jaccard-routes")
+    # Counted and led by combined aggregates joined back, so a part that many share is no one task's.
+    leaders = routed.groupBy("route").agg(F.min("doc_id").alias("leader"), F.count("*").alias("k")).filter("k > 1")
+    shared = routed.join(leaders, "route").filter("leader <> doc_id").select("doc_id", "leader")
     subtrees = components(shared, "jaccard-subtrees")
     nodes = subtrees.withColumnRenamed("component", "subtree").join(
         points.select(F.col("doc_id").alias("node"), "n", "point").dropDuplicates(["node"]), "node"
@@ -288,7 +293,9 @@ def _between_leaves(nodes: DataFrame, inner: DataFrame, joined, num: int, den: i
 
     # Leaf with leaf, where their boxes allow a link and their texts are not all one group yet.
     marked = nodes.join(apart, "subtree", "left_semi").drop("label").join(label, "node", "left")
-    marked = staged(marked.withColumn("label", F.coalesce("component", "node")).drop("component"), "jaccard-marked")
+    marked = marked.withColumn("label", F.coalesce("component", "node")).drop("component")
+    open_still = marked.groupBy("subtree").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).filter("l0 <> l1")
+    marked = staged(marked.join(open_still.select("subtree"), "subtree", "left_semi"), "jaccard-marked")
     corner = F.array(*[F.max(F.col("point")[g]) for g in range(GROUPS)])
     boxes = marked.groupBy("subtree", "leaf").agg(
         F.min("n").alias("n0"),
@@ -298,11 +305,15 @@ def _between_leaves(nodes: DataFrame, inner: DataFrame, joined, num: int, den: i
         F.max("label").alias("l1"),
     )
     boxes = staged(boxes, "jaccard-boxes")
-    other = boxes.select("subtree", *[F.col(c).alias(f"o_{c}") for c in ("leaf", "n0", "n1", "corner", "l0", "l1")])
+    blocks = boxes.groupBy("subtree").agg(F.ceil(F.count("*") / LEAF_BLOCK).cast("int").alias("blocks"))
+    dealt = boxes.join(blocks, "subtree").withColumn("block", F.pmod(F.xxhash64("leaf"), F.col("blocks")).cast("int"))
+    one = dealt.withColumn("i", F.col("block")).withColumn("j", F.explode(F.sequence("block", F.col("blocks") - 1)))
+    other = dealt.withColumn("i", F.explode(F.sequence(F.lit(0), "block"))).withColumn("j", F.col("block"))
+    other = other.select("subtree", "i", "j", *[F.col(c).alias(f"o_{c}") for c in ("leaf", "n0", "n1", "corner", "l0", "l1")])
     minima = F.zip_with("corner", "o_corner", lambda x, y: F.least(x, y))
     least_sum = F.aggregate(minima, F.lit(0), lambda s, x: s + x)
-    pairs = boxes.join(other, "subtree").filter(
-        "leaf < o_leaf and not (l0 = l1 and l0 = o_l0 and l0 = o_l1)"
+    pairs = one.join(other, ["subtree", "i", "j"]).filter(
+        "(i < j or leaf < o_leaf) and not (l0 = l1 and l0 = o_l0 and l0 = o_l1)"
         f" and {den} * n1 >= {num} * o_n0 and {den} * o_n1 >= {num} * n0"
     )
     pairs = pairs.filter(least_sum * (num + den) >= (F.col("n0") + F.col("o_n0")) * num)

@@ -329,6 +329,38 @@ def test_near_duplicates(spark, monkeypatch, leaf):
     assert got == brute_components(texts, 3, 4, 5)
 
 
+@pytest.mark.parametrize("block", [256, 2])
+def test_leaves_of_settled_subtrees_leave(spark, monkeypatch, block):
+    """A group in many leaves, one after the star step, makes no leaf pairs; others do, in blocks."""
+    made, staged = {}, jaccard.staged
+    monkeypatch.setattr(jaccard, "LEAF_TEXTS", 2)
+    monkeypatch.setattr(jaccard, "LEAF_BLOCK", block, raising=False)
+
+    def counted(df, label):
+        out = staged(df, label)
+        made[label] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "staged", counted)
+    random = np.random.default_rng(11)
+    base = [f"w{i}" for i in range(300)]
+    texts = {}
+    for k in range(24):
+        w = list(base)
+        w[int(random.integers(300))] = f"x{k}"
+        texts[k] = " ".join(w)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(docs, 3, 4, 5).collect()}
+    assert got == brute_components(texts, 3, 4, 5)
+    assert made["jaccard-stars"] > 0 and made.get("jaccard-boxes", 0) == 0
+    # A chain of texts ever further from the first stays open after the star step.
+    made.clear()
+    chain = {k: " ".join([*[f"y{i}" for i in range(8 * k)], *base[8 * k :]]) for k in range(20)}
+    docs = spark.createDataFrame(list(chain.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(docs, 3, 4, 5).collect()}
+    assert got == brute_components(chain, 3, 4, 5) and made["jaccard-boxes"] > 0
+
+
 def test_class_ngrams(spark, small, texts):
     got = {r.doc_id: r for r in queries.QUERIES["op9_class_ngram_score"](spark, small).collect()}
     tokens = {d: [*WORD.findall(lower(t)), None] for d, t in texts.items()}
