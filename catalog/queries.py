@@ -192,11 +192,11 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, state = prepared_rows(spark, sf_dir)
-    model = forest.fit_forest(rows, state.features, GREGORIAN)
+    model = forest.fit_forest(rows, state.features, GREGORIAN, numTrees=5, maxDepth=6)
     path = new_path(spark, "model")
     model.write().overwrite().save(path)
     before = forest.score(rows, model, state.features, GRAIN)
-    again = forest.load_forest(path)
+    again = forest.load_model(spark, path)
     both = again.setProbabilityCol("again").setPredictionCol("p").setRawPredictionCol("r")
     reread = both.transform(forest.assemble(rows, state.features, GRAIN)).select(
         *GRAIN, F.get(forest.vector_to_array("again"), F.lit(1)).alias("again")

@@ -1,145 +1,127 @@
-"""Exact order statistics without sorting a column or holding it in one task.
-
-Each wanted rank is kept as an open interval of values. One pass of mergeable
-sketches proposes narrow bounds, one pass of counts proves on which side the
-rank lies, and only when the rows still inside fit a fixed limit are their
-distinct values (with counts) fetched. A value that holds many rows ends as an
-interval bound and is resolved by its count, so duplicates do no harm.
+"""Exact order statistics by a radix search, without sorting a column or holding it in one task.
+
+A double is turned into a whole number that orders like it: its sign, exponent and fraction
+as 64 bits. A wanted rank is searched from the leading bits on: one pass counts the rows of
+every value of the next ``BITS`` bits (summed map-side, so a task sends one row per bit
+pattern at most, however many rows share it), the counts are added up in order, and the
+pattern that holds the rank is followed. A search ends when all rows of its pattern are the
+same value or are few enough to fetch with their counts; 64 bits end it in any case. All
+searches of all columns share their passes.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, replace
+import struct
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..schema import number, quoted
+from ..schema import quoted
 
-ACCURACY = 10_000
+#: Bits that a pass counts, and rows that may be fetched for all searches together.
+BITS = 14
 FETCH_LIMIT = 20_000
 
+_FRACTION, _INFINITE = 52, 2047 << 52
+
 
 @dataclass(frozen=True)
 class _Search:
     column: str
     rank: int  # zero-based rank in the column, the key of the result
-    low: float | None  # exclusive bounds, None = unbounded
-    high: float | None
-    local: int  # rank among the values strictly inside the bounds
-    inside: int  # rows strictly inside the bounds
-
+    prefix: int | None  # leading bits that are known, None = none yet
+    depth: int  # how many bits these are
+    local: int  # rank among the rows with these leading bits
+    inside: int  # how many rows that are
 
-def _value(column: str) -> str:
-    return f"double({quoted(column)})"
 
+def ordered_bits(column: str) -> str:
+    """SQL for a bigint that orders like the double; -0.0 is 0, NaN is above infinity.
 
-def _within(s: _Search) -> str:
-    """Condition for rows strictly inside the interval."""
-    parts = [f"{quoted(s.column)} is not null"]
-    if s.low is not None:
-        parts.append(f"{_value(s.column)} > {number(s.low)}")
-    if s.high is not None:
-        parts.append(f"{_value(s.column)} < {number(s.high)}")
-    return " and ".join(parts)
-
+    Powers of two and their quotients are exact in doubles, so no bit is lost.
+    """
+    value = f"double({column})"
+    size = f"abs({value})"
+    near = f"least(greatest(floor(log2({size})), -1022), 1023)"
+    exponent = f"(case when {size} < pow(2D, {near}) then {near} - 1 when {size} >= pow(2D, {near} + 1) then {near} + 1 else {near} end)"
+    normal = f"shiftleft({exponent} + 1023, {_FRACTION}) + bigint(({size} / pow(2D, {exponent}) - 1D) * pow(2D, {_FRACTION}))"
+    small = f"bigint({size} * pow(2D, 1000) * pow(2D, 74))"
+    bits = (
+        f"case when isnan({value}) then {_INFINITE + 1}L when {size} = double('Infinity') then {_INFINITE}L "
+        f"when {size} < pow(2D, -1022) then {small} else {normal} end"
+    )
+    return f"case when {value} < 0D then -({bits}) else {bits} end"
 
-def _interval(s: _Search) -> tuple:
-    return (s.column, s.low, s.high)
 
+def from_ordered_bits(bits: int) -> float:
+    value = struct.unpack("<d", struct.pack("<q", abs(bits)))[0]
+    return -value if bits < 0 else value
 
-def _propose(df: DataFrame, searches: list[_Search], accuracy: int) -> list[tuple[float, float]]:
-    """Two values per search that enclose its rank, up to sketch error.
 
-    Searches over the same interval share one sketch.
-    """
-    shares: dict[tuple, list[float]] = {}
-    places = []
+def _slots(searches: list[_Search]) -> dict[tuple[str, int | None], list[_Search]]:
+    """Searches that follow the same bits of the same column share their counts."""
+    slots: dict[tuple[str, int | None], list[_Search]] = {}
     for s in searches:
-        # Snapped to the sketch's grid so neighbouring ranks share their bounds.
-        low = max(0.0, math.floor(s.local / s.inside * accuracy - 2) / accuracy)
-        high = min(1.0, math.ceil((s.local + 1) / s.inside * accuracy + 2) / accuracy)
-        known = shares.setdefault(_interval(s), [])
-        for share in (low, high):
-            if share not in known:
-                known.append(share)
-        places.append((_interval(s), known.index(low), known.index(high)))
-    first = {_interval(s): s for s in searches}
-    exprs = [
-        F.expr(
-            f"percentile_approx(case when {_within(first[key])} then {_value(key[0])} end, "
-            f"array({', '.join(map(number, known))}), {accuracy}) as s{i}"
-        )
-        for i, (key, known) in enumerate(shares.items())
-    ]
-    row = df.agg(*exprs).first()
-    values = {key: row[f"s{i}"] for i, key in enumerate(shares)}
-    return [(values[key][low], values[key][high]) for key, low, high in places]
-
-
-def _narrow(
-    df: DataFrame, searches: list[_Search], bounds: list[tuple[float, float]]
-) -> tuple[dict, list[_Search]]:
-    """Count rows around each pair of bounds; resolve ranks that fall on a bound."""
-    exprs: dict[tuple, str] = {}
-    for s, pair in zip(searches, bounds):
-        for bound in pair:
-            for test in ("<", "<="):
-                key = (*_interval(s), test, bound)
-                if key not in exprs:
-                    exprs[key] = f"{_within(s)} and {_value(s.column)} {test} {number(bound)}"
-    row = df.agg(*[F.expr(f"count_if({e}) as c{i}") for i, e in enumerate(exprs.values())]).first()
-    counted = {key: row[f"c{i}"] for i, key in enumerate(exprs)}
+        slots.setdefault((s.column, s.prefix), []).append(s)
+    return slots
+
+
+def _rows_inside(df: DataFrame, slots: dict, depth: int, known: list[str]) -> DataFrame:
+    """(slot, bits) of every row that some search still follows."""
+    place = {c: i for i, c in enumerate(known)}
+    keys = df.select(*[F.expr(f"{ordered_bits(quoted(c))} as b{i}") for c, i in place.items()])
+    entries = []
+    for slot, (column, prefix) in enumerate(slots):
+        bits = f"b{place[column]}"
+        same = "" if prefix is None else f" and shiftright({bits}, {64 - depth}) = {prefix}L"
+        entries.append(f"case when {bits} is not null{same} then struct({slot} as slot, {bits} as bits) end")
+    return keys.selectExpr(f"inline(array_compact(array({', '.join(entries)})))")
+
+
+def _narrow(df: DataFrame, searches: list[_Search], bits: int) -> tuple[dict, list[_Search]]:
+    """Follow every search by the next bits; resolve those whose rows are all alike."""
+    slots, depth = _slots(searches), searches[0].depth
+    step = min(bits, 64 - depth)
+    inside = _rows_inside(df, slots, depth, sorted({s.column for s in searches}))
+    counts = inside.groupBy("slot", F.shiftright("bits", 64 - depth - step).alias("prefix")).agg(
+        F.count("*").alias("n"), F.min("bits").alias("least"), F.max("bits").alias("most")
+    )
+    # At most one row per slot and pattern reaches this window.
+    earlier = Window.partitionBy("slot").orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    ranks = ", ".join(f"array({', '.join(f'{s.local}L' for s in group)})" for group in slots.values())
+    holding = f"exists(array({ranks})[slot], r -> r >= before and r < before + n)"
+    rows = counts.filter(holding).collect()
     found, pending = {}, []
-    for s, (low, high) in zip(searches, bounds):
-        below, to_low, to_mid, to_high = (
-            counted[(*_interval(s), name, bound)]
-            for name, bound in (("<", low), ("<=", low), ("<", high), ("<=", high))
-        )
-        rank = s.local
-        if rank < below:
-            pending.append(replace(s, high=low, inside=below))
-        elif rank < to_low:
-            found[s.column, s.rank] = low
-        elif rank < to_mid:
-            pending.append(
-                replace(s, low=low, high=high, local=rank - to_low, inside=to_mid - to_low)
-            )
-        elif rank < to_high:
-            found[s.column, s.rank] = high
-        else:
-            pending.append(replace(s, low=high, local=rank - to_high, inside=s.inside - to_high))
+    for slot, group in enumerate(slots.values()):
+        for s in group:
+            r = next(r for r in rows if r["slot"] == slot and r["before"] <= s.local < r["before"] + r["n"])
+            if r["least"] == r["most"]:
+                found[s.column, s.rank] = from_ordered_bits(r["least"])
+            else:
+                pending.append(_Search(s.column, s.rank, r["prefix"], depth + step, s.local - r["before"], r["n"]))
     return found, pending
 
 
 def _fetch(df: DataFrame, searches: list[_Search]) -> dict:
     """Resolve searches whose remaining rows are known to be few."""
-    intervals = {}
-    for s in searches:
-        intervals.setdefault(_interval(s), s)
-    entries = [
-        f"case when {_within(s)} then struct({i} as slot, {_value(s.column)} as value) end"
-        for i, s in enumerate(intervals.values())
-    ]
-    rows = (
-        df.selectExpr(f"inline(array_compact(array({', '.join(entries)})))")
-        .groupBy("slot", "value")
-        .count()
-        .collect()
-    )
-    by_slot: dict[int, list[tuple[float, int]]] = {}
-    for r in rows:
-        by_slot.setdefault(r["slot"], []).append((r["value"], r["count"]))
-    slot_of = {key: i for i, key in enumerate(intervals)}
+    slots = _slots(searches)
+    inside = _rows_inside(df, slots, searches[0].depth, sorted({s.column for s in searches}))
+    by_slot: dict[int, list[tuple[int, int]]] = {}
+    for r in inside.groupBy("slot", "bits").count().collect():
+        by_slot.setdefault(r["slot"], []).append((r["bits"], r["count"]))
     found = {}
-    for s in searches:
-        left = s.local
-        for value, count in sorted(by_slot[slot_of[_interval(s)]]):
-            if left < count:
-                found[s.column, s.rank] = value
-                break
-            left -= count
+    for slot, group in enumerate(slots.values()):
+        values = sorted(by_slot[slot])
+        for s in group:
+            left = s.local
+            for bits, count in values:
+                if left < count:
+                    found[s.column, s.rank] = from_ordered_bits(bits)
+                    break
+                left -= count
     return found
 
 
@@ -147,7 +129,7 @@ def values_at_ranks(
     df: DataFrame,
     wanted: dict[str, list[int]],
     counts: dict[str, int],
-    accuracy: int = ACCURACY,
+    bits: int = BITS,
     fetch_limit: int = FETCH_LIMIT,
 ) -> dict[tuple[str, int], float]:
     """``{(column, rank): value}`` for zero-based ranks among non-null values.
@@ -159,14 +141,14 @@ def values_at_ranks(
         for rank in sorted(set(ranks)):
             if not 0 <= rank < counts[column]:
                 raise ValueError(f"rank {rank} out of range for {column}")
-            pending.append(_Search(column, rank, None, None, rank, counts[column]))
+            pending.append(_Search(column, rank, None, 0, rank, counts[column]))
     found: dict[tuple[str, int], float] = {}
     while pending:
-        sizes = {_interval(s): s.inside for s in pending}
+        sizes = {(s.column, s.prefix): s.inside for s in pending}
         if sum(sizes.values()) <= fetch_limit:
             found.update(_fetch(df, pending))
             break
-        resolved, pending = _narrow(df, pending, _propose(df, pending, accuracy))
+        resolved, pending = _narrow(df, pending, bits)
         found.update(resolved)
     return found
 

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import staged
+from .scan import prefix_sums
 
 
 def accuracy(df: DataFrame, prediction: str, label: str, by: list[str] | None = None) -> DataFrame:
@@ -15,24 +14,11 @@ def accuracy(df: DataFrame, prediction: str, label: str, by: list[str] | None =
     return df.filter(F.col(label).isNotNull()).groupBy(*(by or [])).agg(F.avg(hit).alias("accuracy"), F.count(hit).alias("n_rows"))
 
 
-def score_ranges(df: DataFrame, score: str, ranges: int | None = None) -> list[float]:
-    """Cut points that spread the rows of ``df`` over about equally large ranges."""
-    if ranges is None:
-        ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if ranges <= 1:
-        return []
-    shares = [i / ranges for i in range(1, ranges)]
-    cuts = df.agg(F.percentile_approx(F.col(score).cast("double"), shares, 10_000).alias("c")).first()
-    return sorted(set(cuts["c"] or []))
-
-
 def auc(df: DataFrame, score: str, label: str, ranges: int | None = None) -> DataFrame:
     """Exact area under the ROC curve: one row, NULL if a class is missing.
 
-    Rows are first reduced to one per distinct score. Scores are cut into
-    ranges; each range counts the negatives below each score on its own, and
-    only one row per range is needed to add up what lies below the range. No
-    task ever sees more than one range.
+    Rows are first reduced to one per distinct score, so a score that most rows share is one
+    row; a two-phase prefix sum then counts the negatives below each score.
     """
     positive = F.col(label).cast("long")
     scores = (
@@ -40,28 +26,9 @@ def auc(df: DataFrame, score: str, label: str, ranges: int | None = None) -> Dat
         .groupBy(F.col(score).cast("double").alias("score"))
         .agg(F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg"))
     )
-    # Ranges are cut from distinct scores, so one score that most rows share leaves them even.
-    scores = staged(scores, "auc-scores")
-    cuts = score_ranges(scores, "score", ranges)
-    if cuts:
-        scores = Bucketizer(
-            splits=[-float("inf"), *cuts, float("inf")], inputCol="score", outputCol="part"
-        ).transform(scores)
-    else:
-        scores = scores.withColumn("part", F.lit(0.0))
-    inside = Window.partitionBy("part").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    below = F.coalesce(F.sum("neg").over(inside), F.lit(0))
-    parts = (
-        scores.withColumn("pairs", F.col("pos").cast("double") * (below + F.col("neg") / 2))
-        .groupBy("part")
-        .agg(F.sum("pairs").alias("pairs"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    )
-    # At most one row per range reaches this window.
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("neg").over(earlier), F.lit(0)).cast("double")
-    total = parts.withColumn("pairs", F.col("pairs") + F.col("pos") * before).agg(
-        F.sum("pairs").alias("pairs"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
-    )
+    below = prefix_sums(scores, "score", {"neg": "below"}, ranges)
+    pairs = F.col("pos").cast("double") * (F.col("below") + F.col("neg") / 2)
+    total = below.agg(F.sum(pairs).alias("pairs"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     possible = F.col("pos").cast("double") * F.col("neg").cast("double")
     return total.select(
         F.when(possible > 0, F.col("pairs") / possible).alias("auc"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tenurecast import schema
 from tenurecast.functions.jitter import hash_fraction, row_text, with_jitter
-from tenurecast.operators import categories, cohort, columns, metrics, outliers, profile, scaling, split
+from tenurecast.operators import categories, cohort, columns, metrics, outliers, profile, scaling, scan, split
 from tenurecast.schema import FISCAL, GREGORIAN
 
 
@@ -280,3 +280,22 @@ def test_jitter_bounds_and_keys(spark):
     assert len(set(keyed)) == 3
     texts = [r[0] for r in df.select(row_text(df, ["k", "x"])).collect()]
     assert texts == ["1|2.000000", "2|2.000000", "3|NULL"]
+
+
+@pytest.mark.parametrize("ranges", [1, 3, None])
+def test_prefix_sums_equal_brute_force(spark, ranges):
+    """Ties, nulls and a key that a third of the rows share."""
+    random = np.random.default_rng(8)
+    rows = [(None if k == 0 else 5 if k % 3 == 0 else int(k), None if v == 0 else int(v)) for k, v in random.integers(0, 40, (300, 2))]
+    df = spark.createDataFrame(rows, "k long, v long").repartition(4)
+    found = scan.prefix_sums(df, "k", {"v": "below"}, ranges).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        smaller = [v or 0 for k, v in rows if r.k is not None and (k is None or k < r.k)]
+        assert r.below == sum(smaller)
+
+
+def test_prefix_sums_have_no_global_window(spark):
+    df = spark.range(1000).withColumn("v", F.lit(1))
+    text = scan.prefix_sums(df, "id", {"v": "below"})._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in text and "percentile" not in text
