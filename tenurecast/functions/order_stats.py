@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..schema import quoted
 
 #: Bits that a pass counts, and rows that may be fetched for all searches together.
-BITS = 14
+BITS = 16
 FETCH_LIMIT = 20_000
 
 _FRACTION, _INFINITE = 52, 2047 << 52
@@ -37,22 +37,29 @@ class _Search:
     inside: int  # how many rows that are
 
 
-def ordered_bits(column: str) -> str:
-    """SQL for a bigint that orders like the double; -0.0 is 0, NaN is above infinity.
+def ordered_bits(df: DataFrame, value: str, out: str) -> DataFrame:
+    """``df`` with a bigint that orders like the double ``value``; -0.0 is 0, NaN above infinity.
 
-    Powers of two and their quotients are exact in doubles, so no bit is lost.
+    Powers of two and quotients by them are exact in doubles, so no bit is lost. The rounded
+    logarithm may be one off, which a comparison with the power mends.
     """
-    value = f"double({column})"
-    size = f"abs({value})"
-    near = f"least(greatest(floor(log2({size})), -1022), 1023)"
-    exponent = f"(case when {size} < pow(2D, {near}) then {near} - 1 when {size} >= pow(2D, {near} + 1) then {near} + 1 else {near} end)"
-    normal = f"shiftleft({exponent} + 1023, {_FRACTION}) + bigint(({size} / pow(2D, {exponent}) - 1D) * pow(2D, {_FRACTION}))"
-    small = f"bigint({size} * pow(2D, 1000) * pow(2D, 74))"
+    steps = [
+        ("_size", f"abs({value})"),
+        ("_near", "least(greatest(bigint(floor(log2(_size))), -1022L), 1023L)"),
+        ("_power", "pow(2D, _near)"),
+        ("_off", "case when _size < _power then -1L when _size / _power >= 2D then 1L else 0L end"),
+    ]
+    for name, step in steps:
+        df = df.withColumn(name, F.expr(step))
+    part = "_size / (case _off when -1L then _power / 2D when 1L then _power * 2D else _power end)"
+    normal = f"shiftleft(_near + _off + 1023L, {_FRACTION}) + bigint(({part} - 1D) * pow(2D, {_FRACTION}))"
+    small = "bigint(_size * pow(2D, 1000) * pow(2D, 74))"
     bits = (
-        f"case when isnan({value}) then {_INFINITE + 1}L when {size} = double('Infinity') then {_INFINITE}L "
-        f"when {size} < pow(2D, -1022) then {small} else {normal} end"
+        f"case when isnan({value}) then {_INFINITE + 1}L when _size = double('Infinity') then {_INFINITE}L "
+        f"when _size < pow(2D, -1022) then {small} else {normal} end"
     )
-    return f"case when {value} < 0D then -({bits}) else {bits} end"
+    df = df.withColumn(out, F.expr(bits)).drop(*[name for name, _ in steps])
+    return df.withColumn(out, F.expr(f"case when {value} < 0D then -{out} else {out} end"))
 
 
 def from_ordered_bits(bits: int) -> float:
@@ -68,23 +75,28 @@ def _slots(searches: list[_Search]) -> dict[tuple[str, int | None], list[_Search
     return slots
 
 
-def _rows_inside(df: DataFrame, slots: dict, depth: int, known: list[str]) -> DataFrame:
+def _rows_inside(df: DataFrame, slots: dict, depth: int) -> DataFrame:
     """(slot, bits) of every row that some search still follows."""
-    place = {c: i for i, c in enumerate(known)}
-    keys = df.select(*[F.expr(f"{ordered_bits(quoted(c))} as b{i}") for c, i in place.items()])
-    entries = []
-    for slot, (column, prefix) in enumerate(slots):
-        bits = f"b{place[column]}"
-        same = "" if prefix is None else f" and shiftright({bits}, {64 - depth}) = {prefix}L"
-        entries.append(f"case when {bits} is not null{same} then struct({slot} as slot, {bits} as bits) end")
-    return keys.selectExpr(f"inline(array_compact(array({', '.join(entries)})))")
+    followed: dict[str, list[int | None]] = {}
+    for column, prefix in sorted(slots, key=lambda s: s[0]):
+        followed.setdefault(column, []).append(prefix)
+    values = ", ".join(f"struct({i} as place, double({quoted(c)}) as value)" for i, c in enumerate(followed))
+    long = df.selectExpr(f"inline(array({values}))").filter("value is not null")
+    long = ordered_bits(long, "value", "bits")
+    order = {key: i for i, key in enumerate(slots)}
+    numbers = ", ".join(f"array({', '.join(str(order[c, p]) for p in prefixes)})" for c, prefixes in followed.items())
+    if depth == 0:
+        return long.select(F.expr(f"array({numbers})[place][0]").alias("slot"), "bits")
+    heads = ", ".join(f"array({', '.join(f'{p}L' for p in prefixes)})" for prefixes in followed.values())
+    long = long.withColumn("at", F.expr(f"array_position(array({heads})[place], shiftright(bits, {64 - depth}))"))
+    return long.filter("at > 0").select(F.expr(f"array({numbers})[place][int(at) - 1]").alias("slot"), "bits")
 
 
 def _narrow(df: DataFrame, searches: list[_Search], bits: int) -> tuple[dict, list[_Search]]:
     """Follow every search by the next bits; resolve those whose rows are all alike."""
     slots, depth = _slots(searches), searches[0].depth
     step = min(bits, 64 - depth)
-    inside = _rows_inside(df, slots, depth, sorted({s.column for s in searches}))
+    inside = _rows_inside(df, slots, depth)
     counts = inside.groupBy("slot", F.shiftright("bits", 64 - depth - step).alias("prefix")).agg(
         F.count("*").alias("n"), F.min("bits").alias("least"), F.max("bits").alias("most")
     )
@@ -108,7 +120,7 @@ def _narrow(df: DataFrame, searches: list[_Search], bits: int) -> tuple[dict, li
 def _fetch(df: DataFrame, searches: list[_Search]) -> dict:
     """Resolve searches whose remaining rows are known to be few."""
     slots = _slots(searches)
-    inside = _rows_inside(df, slots, searches[0].depth, sorted({s.column for s in searches}))
+    inside = _rows_inside(df, slots, searches[0].depth)
     by_slot: dict[int, list[tuple[int, int]]] = {}
     for r in inside.groupBy("slot", "bits").count().collect():
         by_slot.setdefault(r["slot"], []).append((r["bits"], r["count"]))

@@ -67,7 +67,7 @@ def test_bits_order_like_doubles(spark):
     powers = [s * math.ldexp(m, e) for e in range(-1074, 1024, 7) for m in (1.0, 1.0 - 2**-53, 1.0 + 2**-52) for s in (1, -1)]
     data = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, math.inf, -math.inf, 1e308, 7.0, *some, *powers]
     df = spark.createDataFrame([(x,) for x in data], "x double")
-    rows = df.selectExpr("x", f"{ordered_bits('x')} as b").collect()
+    rows = ordered_bits(df, "x", "b").collect()
     for r in rows:
         bits = struct.unpack("<q", struct.pack("<d", abs(r.x)))[0]
         assert r.b == (-bits if r.x < 0 else bits)
@@ -76,7 +76,7 @@ def test_bits_order_like_doubles(spark):
 
 def test_search_has_no_sketch_and_sums_before_it_shuffles(spark, values):
     assert "percentile" not in inspect.getsource(order_stats)
-    inside = order_stats._rows_inside(values, order_stats._slots([order_stats._Search("hot", 0, None, 0, 0, 3000)]), 0, ["hot"])
+    inside = order_stats._rows_inside(values, order_stats._slots([order_stats._Search("hot", 0, None, 0, 0, 3000)]), 0)
     text = inside.groupBy("slot", F.shiftright("bits", 50)).count()._jdf.queryExecution().executedPlan().toString()
     assert text.count("HashAggregate") == 2 and "SortAggregate" not in text
 
