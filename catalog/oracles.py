@@ -333,6 +333,10 @@ emptied AS (SELECT BUSINESS_ID FROM features GROUP BY BUSINESS_ID, CAL_YEAR
         "publish_explanations": query(
             features(g), f"SELECT {grain(g)}, 0.0::DOUBLE AS residual FROM features"
         ),
+        "explain_paths_checks": query(
+            features(g),
+            f"SELECT {grain(g)}, 0.0::DOUBLE AS difference, 0.0::DOUBLE AS residue FROM features",
+        ),
         "model_roundtrip": query(
             features(g),
             f"SELECT {grain(g)}, 0.0::DOUBLE AS difference, true AS in_range FROM features",

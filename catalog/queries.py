@@ -575,6 +575,24 @@ def explain_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explain.contributions(rows, model, state.features, GREGORIAN)
 
 
+def explain_paths_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contributions from the table of leaves against path sums over the stored nodes."""
+    rows, state = prepared_rows(spark, sf_dir)
+    model = forest.fit_forest(rows, state.features, GREGORIAN, numTrees=4, maxDepth=5)
+    found = explain.contributions(rows, model, state.features, GREGORIAN)
+    number = {f: i for i, f in enumerate(state.features)}
+    pairs = F.explode(F.map_from_arrays(F.lit(list(number.values())), F.array(*named(state.features))))
+    long = found.select(*GRAIN, pairs.alias("feature", "credit"))
+    walked = explain.path_sums(rows, model, state.features, GREGORIAN)
+    both = long.join(walked, [*GRAIN, "feature"], "full").groupBy(*GRAIN)
+    apart = both.agg(F.max(F.abs(F.coalesce("credit", F.lit(0.0)) - F.coalesce("moved", F.lit(0.0)))).alias("apart"))
+    total = sum((F.col(quoted(f)) for f in state.features), F.col(schema.EXPECTED))
+    sums = found.select(*GRAIN, F.abs(total - F.col(PROBABILITY)).alias("residue"))
+    return apart.join(sums, GRAIN).select(
+        *GRAIN, (F.round("apart", 9) + 0.0).alias("difference"), (F.round("residue", 9) + 0.0).alias("residue")
+    )
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job on one calendar; returns the published scores."""
     out = new_path(spark, "job")
@@ -636,6 +654,7 @@ QUERIES: dict[str, Query] = {
         tree_fit,
         score,
         explain_paths,
+        explain_paths_checks,
         flagship,
     )
 }

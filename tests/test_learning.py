@@ -118,9 +118,9 @@ def brute_paths(model, values):
     return base / count, credit / count
 
 
-@pytest.mark.parametrize("group", [explain.GROUP_NODES, 60])
-def test_contributions(rows, state, model, group):
-    found = explain.contributions(rows, model, state.features, GREGORIAN, group_nodes=group)
+@pytest.mark.parametrize("looked_up", [explain.LOOKED_UP, 60])
+def test_contributions(rows, state, model, looked_up):
+    found = explain.contributions(rows, model, state.features, GREGORIAN, looked_up=looked_up)
     frame = found.toPandas()
     total = frame[state.features].sum(axis=1) + frame[EXPECTED]
     assert np.allclose(total, frame[PROBABILITY], atol=1e-12)
@@ -185,6 +185,32 @@ def test_tree_contributions(rows, state):
     assert np.allclose(total, frame[PROBABILITY], atol=1e-12)
 
 
+def test_leaves_are_numbered_like_the_model(rows, state, model):
+    """Every leaf that a row ends in is in the table, and its path ends at the leaf's share."""
+    nodes = staged(explain.node_table(model), "nodes")
+    width = len(state.features)
+    leaves = explain.leaf_table(nodes, width).toPandas()
+    assert len(leaves) == nodes.filter("left < 0").count()
+    roots = {r.tree: r.share for r in nodes.filter("id = 0").collect()}
+    shares = nodes.filter("left < 0").toPandas().sort_values(["tree", "id"])
+    leaves = leaves.sort_values(["tree", "leaf"])
+    paths = leaves[[f"c{i}" for i in range(width)]].to_numpy().sum(axis=1) + leaves["tree"].map(roots).to_numpy()
+    assert np.allclose(paths, shares["share"].to_numpy(), atol=1e-12)
+    groups = explain.tree_groups(staged(explain.leaf_table(nodes, width), "leaves"), width, 60)
+    assert groups == [(t, t) for t in sorted(roots)]
+
+
+def test_contributions_equal_path_sums(rows, state):
+    model = forest.fit_forest(rows, state.features, GREGORIAN, numTrees=2, maxDepth=4)
+    found = explain.contributions(rows, model, state.features, GREGORIAN).toPandas().set_index(GREGORIAN.grain)
+    walked = explain.path_sums(rows, model, state.features, GREGORIAN).toPandas()
+    dense = np.zeros((len(found), len(state.features)))
+    place = {k: i for i, k in enumerate(found.index)}
+    for *key, feature, moved in walked.itertuples(index=False):
+        dense[place[tuple(key)], int(feature)] = moved
+    assert np.allclose(dense, found[state.features].to_numpy(dtype=float), atol=1e-12)
+
+
 def brute_chained(x, start, rounds):
     """The same rounds with numpy over the whole matrix."""
     gaps = np.isnan(x)
