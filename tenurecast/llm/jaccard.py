@@ -12,10 +12,9 @@ coordinate). Two sets within the similarity differ in at most ``d`` shingles, so
 are dealt by hash into more than ``d`` parts, one part at least is the same in both. Parts are made
 so many that a set fills more than ``d`` of them, so the part in common is not an empty one,
 which unrelated texts would share, too; only the few sets that fill fewer are also routed by
-their empty parts. What a set fills beyond ``d + 1`` it leaves out, all sets by one order of
-the parts, which keeps a part in common: parts that sets of a sample share come last, the
-commonest at the end, so a passage or line that very many texts contain routes none of them.
-The sample (``SAMPLE`` texts, about) only orders; whatever it holds, no link is lost.
+their empty parts. What a set fills beyond ``d + 1`` it may leave out, as long as all sets
+leave out by the same order: the parts that most sets share go, so a passage or line that
+very many texts contain routes none of them.
 Texts that share a part are routed to one subtree; each subtree is packed into leaves of
 bounded size in order of set size and first coordinates. Leaves are joined in themselves,
 then with the first text of the subtree, then leaf with leaf where groups are still apart:
@@ -51,9 +50,6 @@ LEAF_BLOCK = 256
 #: Least ratio of the largest to the least set size of a band; never below that of two near sets.
 BAND = 1.25
 _FANOUT = 8
-#: Texts, chosen by the hash of their ids, whose parts are counted to order all parts, and
-#: texts of these that make a part common. Results do not depend on either.
-SAMPLE, COMMON = 5_000, 3
 
 
 def _lower_edges(largest: int, num: int, den: int) -> list[int]:
@@ -94,14 +90,11 @@ def text_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.nda
     return doc[first], values[first]
 
 
-Order = tuple[np.ndarray, np.ndarray]  # keys of common parts, sorted, and how common they are
-
-
-def _routes(n: int, values: np.ndarray, edges: list[int], num: int, den: int, order: Order | None) -> np.ndarray:
-    """Keys of the parts of one set, under its band and, near the edge, the next: the first
-    ``d + 1`` in order of each, or all without an order."""
+def _routes(n: int, values: np.ndarray, edges: list[int], num: int, den: int) -> tuple[np.ndarray, list[int]]:
+    """Keys of the parts of one set, under its band and, near the edge, the next, and how
+    many of each band's it may leave out. The lowest bit of a key is that of its band."""
     band = int(np.searchsorted(edges, n, "right")) - 1
-    found = []
+    found, spare = [], [0, 0]
     for b in (band, band + 1):
         if b > band and num * edges[b] > den * n:
             continue
@@ -111,23 +104,18 @@ def _routes(n: int, values: np.ndarray, edges: list[int], num: int, den: int, or
         place = ((values >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
         total = np.zeros(parts, np.uint64)
         np.add.at(total, place, values * np.uint64(0xD6E8FEB86659FD93))
-        filled = np.flatnonzero(np.bincount(place, minlength=parts))
-        # With few filled parts an empty one may be the only one in common.
-        keep = filled if len(filled) > d else np.arange(parts)
+        keep = np.flatnonzero(np.bincount(place, minlength=parts))
+        if len(keep) > d:
+            spare[b % 2] = len(keep) - d - 1
+        else:  # an empty part may be the only one in common
+            keep = np.arange(parts)
         keys = mix(total[keep] ^ mix(np.uint64(b << 40) + keep.astype(np.uint64)))
-        if order is not None and len(filled) > d:
-            at = np.minimum(np.searchsorted(order[0], keys), max(len(order[0]) - 1, 0))
-            weight = np.where(order[0][at] == keys, order[1][at], 0) if len(order[0]) else np.zeros(len(keys), np.int64)
-            keys = keys[np.lexsort((keys, weight))[: d + 1]]
-        found.append(keys)
-    return np.concatenate(found) if found else np.empty(0, np.uint64)
+        found.append(keys & ~np.uint64(1) | np.uint64(b % 2))
+    return np.concatenate(found) if found else np.empty(0, np.uint64), spare
 
 
-def _points(width: int, num: int, den: int, shared):
-    """Size, fingerprint, point and routes of every set; all routes if no order is shared."""
-
+def _points(width: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = shared.value if shared is not None else None
         for part, data, offsets in chunks(batches, "text"):
             rows = part.num_rows
             doc, values = text_sets(data, offsets, width)
@@ -138,8 +126,9 @@ def _points(width: int, num: int, den: int, shared):
             for k, s in enumerate(sums):
                 np.add.at(s, doc, mix(values + np.uint64(k + 1)))
             vector = np.bincount(doc * GROUPS + (values >> np.uint64(59)).astype(np.int64), minlength=rows * GROUPS)
-            none = np.empty(0, np.uint64)
-            routes = [_routes(int(n[i]), values[at[i] : at[i + 1]], edges, num, den, order) if n[i] else none for i in range(rows)]
+            routed = [_routes(int(n[i]), values[at[i] : at[i + 1]], edges, num, den) if n[i] else (np.empty(0, np.uint64), [0, 0]) for i in range(rows)]
+            routes = [r[0] for r in routed]
+            spare = np.array([r[1] for r in routed], np.int32).reshape(-1)
             cuts = np.concatenate([[0], np.cumsum([len(r) for r in routes])])
             yield pa.RecordBatch.from_arrays(
                 [
@@ -149,29 +138,15 @@ def _points(width: int, num: int, den: int, shared):
                     longs(sums[0]),
                     longs(sums[1]),
                     pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * GROUPS, pa.int32()), pa.array(vector, pa.int32())),
-                    pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), longs(np.concatenate([none, *routes]))),
+                    pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), longs(np.concatenate(routes) if routes else np.empty(0, np.uint64))),
+                    pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * 2, pa.int32()), pa.array(spare, pa.int32())),
                 ],
-                names=["doc_id", "version", "n", "f1", "f2", "point", "routes"],
+                names=["doc_id", "version", "n", "f1", "f2", "point", "routes", "spare"],
             )
 
     return run
 
 
-_POINT = "doc_id long, version long, n long, f1 long, f2 long, point array<int>, routes array<long>"
-
-
-def _order(docs: DataFrame, width: int, num: int, den: int) -> Order:
-    """Parts that different texts of a sample share, and how many do."""
-    grain = 1_000_003
-    share = min(1.0, SAMPLE / max(docs.count(), 1))
-    sample = docs.filter(F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(grain)) < int(share * grain) + 1)
-    routes = sample.mapInArrow(_points(width, num, den, None), _POINT).select("f1", F.explode("routes").alias("route"))
-    counts = routes.distinct().groupBy("route").count().filter(F.col("count") >= COMMON).toPandas()
-    keys, weight = counts["route"].to_numpy(np.int64).view(np.uint64), counts["count"].to_numpy(np.int64)
-    by = np.argsort(keys)
-    return keys[by], weight[by]
-
-
 # ---- a leaf, or two, in one task -------------------------------------------
 
 
@@ -259,8 +234,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 4, den: int = 5,
     """(doc_id, n_shingles, component_id) per row, linked where Jaccard >= ``num / den``."""
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     docs = docs.withColumn("version", F.xxhash64("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(_order(docs, width, num, den))
-    points = staged(docs.mapInArrow(_points(width, num, den, shared), _POINT), "jaccard-points")
+    schema = "doc_id long, version long, n long, f1 long, f2 long, point array<int>, routes array<long>, spare array<int>"
+    points = staged(docs.mapInArrow(_points(width, num, den), schema), "jaccard-points")
     same = ["n", "f1", "f2"]
     known = points.filter("n > 0 and doc_id is not null")
     # A class of equal sets stands for its texts; the first of its least id is read again.
@@ -269,10 +244,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 4, den: int = 5,
     members = known.select("doc_id", *same).distinct().join(classes.select(*same, "node").hint("merge"), same)
     members = staged(members.select("doc_id", "node"), "jaccard-members")
 
-    routed = known.select("doc_id", F.explode("routes").alias("route"))
-    shared_by = Window.partitionBy("route")
-    routed = routed.withColumn("leader", F.min("doc_id").over(shared_by)).filter("leader <> doc_id").select("doc_id", "leader")
-    subtrees = components(routed, "jaccard-subtrees").select(F.col("node").alias("doc_id"), F.col("component").alias("subtree"))
+    band = F.col("route").bitwiseAND(F.lit(1))
+    routed = known.select("doc_id", "spare", F.explode("routes").alias("route"))
+    routed = routed.select("doc_id", "route", F.get("spare", band.cast("int")).alias("spare"))
+    routed = routed.withColumn("sharers", F.count("*").over(Window.partitionBy("route"))).filter("sharers > 1")
+    # The parts that most rows share are left out, as many as a set can spare.
+    commonest = Window.partitionBy("doc_id", band).orderBy(F.desc("sharers"), F.desc("route"))
+    routed = routed.withColumn("rank", F.row_number().over(commonest)).filter("rank > spare")
+    leader = F.first("doc_id").over(Window.partitionBy("route").orderBy("doc_id"))
+    shared = routed.withColumn("leader", leader).filter("leader <> doc_id").select("doc_id", "leader")
+    subtrees = components(shared, "jaccard-subtrees").select(F.col("node").alias("doc_id"), F.col("component").alias("subtree"))
     nodes = members.join(subtrees, "doc_id").groupBy("node").agg(F.min("subtree").alias("subtree"))
     first = nodes.join(classes.select("node", "doc_id", "version"), "node")
     sized = points.select("doc_id", "version", "n", "point").join(first.hint("merge"), ["doc_id", "version"]).dropDuplicates(["node"])
