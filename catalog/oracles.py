@@ -411,6 +411,11 @@ FROM flags CROSS JOIN (VALUES (false), (true)) r(remote)""",
             "SELECT event_id, name FROM stamped WHERE run_ts IS NULL "
             "OR run_ts > TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 14 DAY",
         ),
+        "list_runs": query(
+            features(g),
+            "SELECT 'gregorian' AS calendar, printf('2024_01_%02d_101500', (CAL_YEAR % 7 * 4 + 1)::INT) AS run_id, "
+            "CAL_YEAR % 7 * 4 + 1 <= 16 AS expired, count(*) AS n_rows FROM features GROUP BY ALL",
+        ),
         "parse_run_stamp": query(
             MANIFEST,
             "SELECT event_id, name, strftime(run_ts, '%Y-%m-%d %H:%M') AS run_ts, "

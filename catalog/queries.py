@@ -340,6 +340,17 @@ def retention_expired(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.retained(manifest(spark, sf_dir), F.lit(AS_OF))
 
 
+def list_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publishes one run per kind of year, lists them from their files, and marks those due."""
+    day = F.format_string("2024_01_%02d_101500", (F.col("CAL_YEAR") % 7 * 4 + 1).cast("int"))
+    rows = feature_table(spark, sf_dir).select(*GRAIN, F.lit(GREGORIAN.name).alias("calendar"), day.alias("run_id"))
+    path = new_path(spark, "runs")
+    rows.write.partitionBy(*writers.RUN_KEYS).parquet(path)
+    listed = runs.due_runs(runs.listed_runs(spark, path), F.lit(AS_OF)).filter("files > 0 and bytes > 0")
+    held = spark.read.parquet(path).groupBy(*writers.RUN_KEYS).agg(F.count("*").alias("n_rows"))
+    return listed.join(held, [*writers.RUN_KEYS]).select(*writers.RUN_KEYS, "expired", "n_rows")
+
+
 def parse_run_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = runs.marked_runs(manifest(spark, sf_dir), F.lit(AS_OF))
     return marked.withColumn("run_ts", F.date_format("run_ts", "yyyy-MM-dd HH:mm"))
@@ -626,6 +637,7 @@ QUERIES: dict[str, Query] = {
         cohort_no_empty_year,
         run_gate,
         retention_expired,
+        list_runs,
         parse_run_stamp,
         join_blocks,
         lookup_broadcast,

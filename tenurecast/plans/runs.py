@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from .. import schema
 from ..functions.stamps import expired, parse_stamp
-from ..session import delete_folder, matching_folders
+from ..session import delete_folder, folder_exists
+from ..sources.readers import list_files
 from ..sources.writers import RUN_KEYS
 
 
@@ -109,13 +110,31 @@ def retained(manifest: DataFrame, as_of: Column, days: int = schema.RETENTION_DA
     )
 
 
+def listed_runs(spark: SparkSession, path: str) -> DataFrame:
+    """(calendar, run_id, files, bytes, changed) of every run below a published table.
+
+    The names come from Spark's own listing, which deals many folders to tasks; no file is
+    opened. A table that was never published has no runs.
+    """
+    if not folder_exists(spark, path):
+        return spark.createDataFrame([], "calendar string, run_id string, files long, bytes long, changed timestamp")
+    keys = [F.regexp_extract("path", f"/{k}=([^/]+)/", 1).alias(k) for k in RUN_KEYS]
+    files = list_files(spark, path).select(*keys, "bytes", "changed")
+    files = files.filter(" and ".join(f"{k} <> ''" for k in RUN_KEYS))
+    return files.groupBy(*RUN_KEYS).agg(
+        F.count("*").alias("files"), F.sum("bytes").alias("bytes"), F.max("changed").alias("changed")
+    )
+
+
 def published_runs(spark: SparkSession, path: str) -> list[tuple[str, str]]:
-    """(calendar, run) of every partition, from the folder names; no file is opened."""
-    found = [
-        tuple(part.split("=", 1)[1] for part in folder.rstrip("/").split("/")[-len(RUN_KEYS):])
-        for folder in matching_folders(spark, "/".join([path, *(f"{k}=*" for k in RUN_KEYS)]))
-    ]
-    return sorted(found)
+    """(calendar, run) of every run, in order."""
+    return [tuple(r) for r in listed_runs(spark, path).select(*RUN_KEYS).orderBy(*RUN_KEYS).collect()]
+
+
+def due_runs(listed: DataFrame, as_of: Column, days: int = schema.RETENTION_DAYS) -> DataFrame:
+    """The listed runs with whether each is due; a malformed run identifier never is."""
+    stamp = F.try_to_timestamp("run_id", F.lit("yyyy_MM_dd_HHmmss"))
+    return listed.withColumn("expired", expired(stamp, as_of, days))
 
 
 def drop_expired(
@@ -125,9 +144,8 @@ def drop_expired(
 
     One folder per run is touched, never single files or rows.
     """
-    listed = spark.createDataFrame(published_runs(spark, path), "calendar string, run_id string")
-    stamp = F.try_to_timestamp("run_id", F.lit("yyyy_MM_dd_HHmmss"))
-    due = listed.filter(expired(stamp, F.lit(as_of), days)).orderBy(*RUN_KEYS).collect()
+    listed = due_runs(listed_runs(spark, path), F.lit(as_of), days)
+    due = listed.filter("expired").select(*RUN_KEYS).orderBy(*RUN_KEYS).collect()
     for r in due:
         delete_folder(spark, f"{path}/calendar={r['calendar']}/run_id={r['run_id']}")
     return [(r["calendar"], r["run_id"]) for r in due]

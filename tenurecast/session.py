@@ -111,12 +111,6 @@ def move_folder(spark: SparkSession, folder: str, to: str) -> None:
         raise OSError(f"cannot move {folder} to {to}")
 
 
-def matching_folders(spark: SparkSession, pattern: str) -> list[str]:
-    """Folders whose names match a pattern with ``*``."""
-    files, path = _located(spark, pattern)
-    return [str(f.getPath().toString()) for f in files.globStatus(path) or [] if f.isDirectory()]
-
-
 def _release_all(spark: SparkSession) -> None:
     try:
         delete_folder(spark, shared_folder(spark))

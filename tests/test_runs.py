@@ -148,3 +148,19 @@ def test_connector_writer(spark, tmp_path):
     df = spark.createDataFrame([(1,)], "k long")
     df.write.format("json").save(str(tmp_path / "t"))
     assert readers.read_table(spark, "json", {}, path=str(tmp_path / "t")).count() == 1
+
+
+def test_runs_are_listed_from_their_files(spark):
+    """Counts and sizes per run; marker files, other folders and missing tables are no runs."""
+    path = new_path(spark, "runs")
+    rows = [(1, "fiscal", "2024_01_01_000000"), (2, "fiscal", "2024_01_30_000000"), (3, "gregorian", "notes")]
+    spark.createDataFrame(rows, "k long, calendar string, run_id string").write.partitionBy("calendar", "run_id").parquet(path)
+    listed = runs.listed_runs(spark, path)
+    assert sorted((r["calendar"], r["run_id"], r["files"]) for r in listed.collect()) == [(c, r, 1) for _, c, r in rows]
+    assert "content" not in listed._jdf.queryExecution().executedPlan().toString()
+    marked = runs.due_runs(listed, F.lit(datetime(2024, 1, 31)))
+    assert sorted((r["run_id"], r["expired"]) for r in marked.collect()) == [
+        ("2024_01_01_000000", True), ("2024_01_30_000000", False), ("notes", False),
+    ]
+    assert runs.listed_runs(spark, new_path(spark, "never")).collect() == []
+    assert runs.drop_expired(spark, new_path(spark, "never"), datetime(2024, 1, 31)) == []
