@@ -228,6 +228,21 @@ def query(ctes: str, select: str) -> str:
     return f"WITH {ctes}\n{select}"
 
 
+def regressed(source: str, target: str, p: str, q: str, given: str, name: str) -> str:
+    """CTE ``name``: ``source`` whose ``target`` is predicted from ``p`` and ``q`` where ``given`` is unknown."""
+    slopes = "spp * sqq - spq * spq"
+    return f"""
+{name}_sums AS (
+  SELECT avg({p}) AS mp, avg({q}) AS mq, avg({target}) AS my, var_pop({p}) AS spp, var_pop({q}) AS sqq,
+         covar_pop({p}, {q}) AS spq, covar_pop({p}, {target}) AS spy, covar_pop({q}, {target}) AS sqy
+  FROM {source} WHERE {given} IS NOT NULL),
+{name} AS (
+  SELECT {source}.* REPLACE (CASE WHEN {given} IS NOT NULL THEN {target} ELSE
+    my + ({p} - mp) * (spy * sqq - sqy * spq) / ({slopes})
+       + ({q} - mq) * (sqy * spp - spy * spq) / ({slopes}) END AS {target})
+  FROM {source}, {name}_sums)"""
+
+
 SCORE = "coalesce(YEAR_PAYMENT, 0) / (SELECT max(YEAR_PAYMENT) FROM features)"
 
 MANIFEST = """
@@ -311,6 +326,17 @@ emptied AS (SELECT BUSINESS_ID FROM features GROUP BY BUSINESS_ID, CAL_YEAR
         f"CAST(0 AS BIGINT) AS n_changed FROM differenced"
         for c in FEATURES
     )
+    pay, credit, salary = "YEAR_PAYMENT", "SUM_CREDIT_AMT_USD", "SALARY_USD"
+    started = f"""
+started AS (
+  SELECT {grain(g)}, CAST({salary} AS DOUBLE) AS {salary}, {pay} AS given_pay, {credit} AS given_credit,
+         CAST(coalesce({pay}, (SELECT avg({pay}) FROM features)) AS DOUBLE) AS {pay},
+         CAST(coalesce({credit}, (SELECT avg({credit}) FROM features)) AS DOUBLE) AS {credit}
+  FROM features)"""
+    chain = [started]
+    for i, source in enumerate(("started", "credit_0")):
+        chain.append(regressed(source, pay, salary, credit, "given_pay", f"pay_{i}"))
+        chain.append(regressed(f"pay_{i}", credit, salary, pay, "given_credit", f"credit_{i}"))
     both = f"{features(g)}, {features('fiscal', '_f')}"
     return {
         "scan_features": query(features(g), f"SELECT {every} FROM features"),
@@ -528,6 +554,10 @@ FROM flags CROSS JOIN (VALUES (false), (true)) r(remote)""",
             f"{features(g)}, texts AS (SELECT *, sha256({row_text}) AS digest FROM features)",
             f"SELECT {grain(g)}, round({jitter_score}, 9) AS PRED_TERM_PROB FROM texts",
         ),
+        "chained_order": query(
+            ",".join([features(g), *chain]),
+            f"SELECT {grain(g)}, {', '.join(f'round({c}, 4) + 0.0 AS {c}' for c in (salary, pay, credit))} FROM credit_1",
+        ),
         "chained_impute_checks": query(
             f"{features(g)}, {differences('features')}", chained
         ),

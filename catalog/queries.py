@@ -544,6 +544,17 @@ def chained_impute_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select(F.inline(F.array(*entries)))
 
 
+def chained_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two rounds of plain regressions; the second column sees what the first just got."""
+    names = ["SALARY_USD", "YEAR_PAYMENT", "SUM_CREDIT_AMT_USD"]
+    df = stored(spark, sf_dir, GREGORIAN, *GRAIN, *names)
+    stats = profile.collect_profile(df, names, names)
+    start = {c: s.mean for c, s in stats.items()}
+    fitted = impute.fit_chained(df, names, start, max_rounds=2, estimator=impute.least_squares)
+    filled = fitted.apply(df)
+    return filled.select(*GRAIN, *rounded(filled, names, 4))
+
+
 def prepare_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = stored(spark, sf_dir, FISCAL)
     state = prep.fit(df, FISCAL, layout="conditional")
@@ -661,6 +672,7 @@ QUERIES: dict[str, Query] = {
         hash_jitter,
         chained_impute,
         chained_impute_checks,
+        chained_order,
         prepare_training,
         forest_fit,
         tree_fit,
