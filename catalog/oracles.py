@@ -382,6 +382,12 @@ started AS (
             features(g),
             f"SELECT {grain(g)}, OWNERSHIP FROM features WHERE OWNERSHIP IS DISTINCT FROM 'Private'",
         ),
+        "delete_partition": query(
+            features(g),
+            f"SELECT {grain(g)}, OWNERSHIP, CAL_YEAR IN (SELECT CAL_YEAR FROM features "
+            "WHERE CAL_YEAR % 2 = 0 AND OWNERSHIP = 'Private') AS rewritten FROM features "
+            "WHERE CAL_YEAR % 2 = 1 OR OWNERSHIP IS DISTINCT FROM 'Private'",
+        ),
         "run_log": query(both, run_log),
         "state_roundtrip": query(
             prepared(g), f"SELECT {keys(g)}, {features_out} FROM prepared"

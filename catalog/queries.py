@@ -37,7 +37,7 @@ from tenurecast.schema import (
     quoted,
 )
 from tenurecast.session import new_path, staged
-from tenurecast.sources import readers, writers
+from tenurecast.sources import readers, versions, writers
 from tenurecast.sources.standin import feature_table, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -165,8 +165,18 @@ def replace_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 def delete_where(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "delete")
     feature_table(spark, sf_dir).select(*GRAIN, "OWNERSHIP").write.parquet(path)
-    writers.delete_where(spark, path, F.col("OWNERSHIP") == "Private")
-    return spark.read.parquet(path)
+    versions.delete_where(spark, path, F.col("OWNERSHIP") == "Private")
+    return versions.read_current(spark, path)
+
+
+def delete_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deletes from even years only; tells which rows stand in partitions written again."""
+    path = new_path(spark, "delete")
+    versions.overwrite(feature_table(spark, sf_dir).select(*GRAIN, "OWNERSHIP"), path, ["CAL_YEAR"])
+    gone = (F.col("CAL_YEAR") % 2 == 0) & (F.col("OWNERSHIP") == "Private")
+    touched = versions.delete_where(spark, path, gone)
+    years = [int(p.split("=")[1]) for p in touched]
+    return versions.read_current(spark, path).withColumn("rewritten", F.col("CAL_YEAR").isin(years))
 
 
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -634,6 +644,7 @@ QUERIES: dict[str, Query] = {
         control_upsert,
         replace_partition,
         delete_where,
+        delete_partition,
         run_log,
         model_roundtrip,
         state_roundtrip,

@@ -17,6 +17,7 @@ from ..operators.split import exact_test, hash_test
 from ..schema import LABEL, PROBABILITY, Calendar, quoted
 from ..session import released, staged
 from ..sources import writers
+from ..sources.versions import read_current
 from . import prep
 from .runs import RunLog, drop_expired, reset_row, should_run
 
@@ -205,7 +206,7 @@ def run_all(
 
     Returns the calendars that were published; none if the gate is closed.
     """
-    if not should_run(spark.read.parquet(control_path), flag, remote=remote):
+    if not should_run(read_current(spark, control_path), flag, remote=remote):
         return []
     done = []
     for name, df in inputs.items():
@@ -215,6 +216,6 @@ def run_all(
                 drop_expired(spark, f"{out}/{kind}_{name}", as_of)
     drop_expired(spark, f"{out}/log", as_of)
     with released(spark):
-        control = spark.read.parquet(control_path)
+        control = read_current(spark, control_path)
         writers.overwrite(writers.upsert(control, reset_row(spark, flag), "NAME"), control_path)
     return done

@@ -116,3 +116,27 @@ def _release_all(spark: SparkSession) -> None:
         delete_folder(spark, shared_folder(spark))
     except Exception:  # the session may already be gone; the folder is only scratch
         pass
+
+
+def child_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder; none if it does not exist."""
+    files, path = _located(spark, folder)
+    return [s.getPath().getName() for s in files.listStatus(path)] if files.exists(path) else []
+
+
+def read_text(spark: SparkSession, file: str) -> str:
+    files, path = _located(spark, file)
+    stream = files.open(path)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, file: str, text: str) -> None:
+    files, path = _located(spark, file)
+    stream = files.create(path, False)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()

@@ -1,13 +1,11 @@
-"""Partitioned tables, delimited files, and replace / delete / upsert."""
+"""Partitioned tables, delimited files, and upserts; replacing and deleting is in ``versions``."""
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import delete_folder, folder_exists, move_folder
+from .versions import delete_where, overwrite, without  # noqa: F401
 
 RUN_KEYS = ["calendar", "run_id"]
 
@@ -43,47 +41,6 @@ def write_table(
     df.write.format(fmt).options(**options).option("dbtable", table).mode(mode).save()
 
 
-def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Replace a table, also with rows derived from itself.
-
-    The new table is written beside the old one and takes its name only when it is whole; the
-    old one is kept until then, and put back if the last step fails.
-    """
-    spark = df.sparkSession
-    path = path.rstrip("/")
-    mark = uuid.uuid4().hex[:12]
-    new, old = f"{path}-new-{mark}", f"{path}-old-{mark}"
-    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    try:
-        writer.parquet(new)
-    except BaseException:
-        delete_folder(spark, new)
-        raise
-    had = folder_exists(spark, path)
-    if had:
-        move_folder(spark, path, old)
-    try:
-        move_folder(spark, new, path)
-    except BaseException:
-        if had:
-            move_folder(spark, old, path)
-        raise
-    if had:
-        delete_folder(spark, old)
-    spark.catalog.refreshByPath(path)
-
-
-def without(df: DataFrame, condition: Column) -> DataFrame:
-    """Rows that a conditional delete would leave: the condition is false or unknown."""
-    return df.filter(~F.coalesce(condition, F.lit(False)))
-
-
-def delete_where(
-    spark: SparkSession, path: str, condition: Column, partition_by: list[str] | None = None
-) -> None:
-    overwrite(without(spark.read.parquet(path), condition), path, partition_by)
-
-
 def upsert(current: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     """Updates, plus the current rows whose key has no update."""
     return current.join(updates.select(key), key, "left_anti").unionByName(updates)

@@ -9,6 +9,7 @@ from tenurecast.operators import explain, forest, impute
 from tenurecast.plans import pipeline, prep
 from tenurecast.schema import EXPECTED, FISCAL, GREGORIAN, LABEL, PROBABILITY
 from tenurecast.session import new_path, staged
+from tenurecast.sources.versions import read_current
 from tenurecast.sources import writers
 from tenurecast.sources.standin import feature_table
 
@@ -296,7 +297,7 @@ def test_whole_job(spark, small, tmp_path):
     assert log.filter("metric = 'auc'").count() == 1
     # The flag is reset, so the next scheduled run does nothing; a remote run would.
     assert pipeline.run_all(spark, inputs, control, "go", out, datetime(2024, 2, 1), settings) == []
-    assert {tuple(r) for r in spark.read.parquet(control).collect()} == {("go", "FALSE"), ("x", "1")}
+    assert {tuple(r) for r in read_current(spark, control).collect()} == {("go", "FALSE"), ("x", "1")}
     again = pipeline.load_trained(spark, f"{out}/trained/gregorian")
     rescored = pipeline.predict(inputs["gregorian"], again)
     assert rescored.exceptAll(published.select(*rescored.columns)).isEmpty()

@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 from tenurecast.functions.stamps import parse_stamp, run_file, run_id
 from tenurecast.plans import runs
-from tenurecast.session import move_folder, new_path
-from tenurecast.sources import readers, writers
+from tenurecast.session import child_names, new_path
+from tenurecast.sources import readers, versions, writers
+from tenurecast.sources.versions import read_current
 
 
 @pytest.mark.parametrize(
@@ -73,37 +74,76 @@ def test_upsert_and_delete(spark):
     rows = [("a", "TRUE"), ("b", "TRUE"), ("c", None)]
     spark.createDataFrame(rows, "NAME string, VALUE string").write.parquet(path)
     updates = spark.createDataFrame([("b", "FALSE"), ("d", "TRUE")], "NAME string, VALUE string")
-    writers.overwrite(writers.upsert(spark.read.parquet(path), updates, "NAME"), path)
-    found = {tuple(r) for r in spark.read.parquet(path).collect()}
+    writers.overwrite(writers.upsert(read_current(spark, path), updates, "NAME"), path)
+    found = {tuple(r) for r in read_current(spark, path).collect()}
     assert found == {("a", "TRUE"), ("b", "FALSE"), ("c", None), ("d", "TRUE")}
     writers.delete_where(spark, path, F.col("VALUE") == "TRUE")
     # NULL does not match the condition, so its row stays.
-    assert {tuple(r) for r in spark.read.parquet(path).collect()} == {("b", "FALSE"), ("c", None)}
+    assert {tuple(r) for r in read_current(spark, path).collect()} == {("b", "FALSE"), ("c", None)}
     writers.delete_where(spark, path, F.col("NAME") == "b")
-    assert readers.control_value(spark.read.parquet(path), "b").count() == 0
+    assert readers.control_value(read_current(spark, path), "b").count() == 0
+    # Two versions are kept, and nothing of the plain table or older ones.
+    assert len(child_names(spark, f"{path}/{versions.VERSIONS}")) == 2
+    assert all(n.startswith("_") for n in child_names(spark, path)) and len(child_names(spark, path)) == 3
 
 
 def test_a_broken_write_leaves_the_old_table(spark, monkeypatch):
     path = new_path(spark, "broken")
     spark.range(3).write.parquet(path)
-    table = spark.read.parquet(path)
     fails = F.raise_error(F.lit("broken")).cast("long").alias("id")
     with pytest.raises(Exception, match="broken"):
-        writers.overwrite(table.select(fails), path)
-    assert spark.read.parquet(path).count() == 3
+        versions.overwrite(read_current(spark, path).select(fails), path)
+    assert read_current(spark, path).count() == 3
+    versions.overwrite(spark.range(4), path)
+    between = []
 
-    moved = []
+    def broken_move(spark_, draft, final):
+        # The new rows are written whole, but not yet named: readers still see the old table.
+        between.append(read_current(spark_, path).count())
+        raise OSError("broken")
 
-    def second_move_fails(spark_, folder, to):
-        moved.append((folder, to))
-        if len(moved) == 2:
-            raise OSError("broken")
-        move_folder(spark_, folder, to)
-
-    monkeypatch.setattr(writers, "move_folder", second_move_fails)
+    monkeypatch.setattr(versions, "move_folder", broken_move)
     with pytest.raises(OSError, match="broken"):
-        writers.overwrite(table.filter("id > 0"), path)
-    assert spark.read.parquet(path).count() == 3
+        versions.overwrite(spark.range(5), path)
+    assert between == [4] and read_current(spark, path).count() == 4
+
+
+def test_readers_between_the_steps_of_a_delete(spark, monkeypatch):
+    path = new_path(spark, "steps")
+    rows = [(1, "x"), (2, "x"), (3, "y z/%"), (4, None)]
+    versions.overwrite(spark.createDataFrame(rows, "id long, kind string"), path, ["kind"])
+    early = read_current(spark, path)
+    seen, real = [], versions.commit
+
+    def watched(spark_, path_, version):
+        seen.append(sorted(r["id"] for r in read_current(spark_, path_).collect()))
+        real(spark_, path_, version)
+        seen.append(sorted(r["id"] for r in read_current(spark_, path_).collect()))
+
+    monkeypatch.setattr(versions, "commit", watched)
+    before = versions.newest(spark, path).batches
+    assert versions.delete_where(spark, path, F.col("id").isin(1, 3)) == ["kind=x", "kind=y z%2F%25"]
+    assert seen == [[1, 2, 3, 4], [2, 4]]
+    # The partition without a match is still that of the first batch; its files are not written again.
+    (folder,) = before
+    assert versions.newest(spark, path).batches[folder] == ["kind=__HIVE_DEFAULT_PARTITION__"]
+    # A job that began on the old version ends on it.
+    assert sorted(r["id"] for r in early.collect()) == [1, 2, 3, 4]
+    assert versions.delete_where(spark, path, F.col("id") == 9) == []
+    assert versions.delete_where(spark, path, F.lit(True)) != []
+    assert read_current(spark, path).collect() == [] and read_current(spark, path).columns == ["id", "kind"]
+
+
+def test_a_second_writer_fails(spark, monkeypatch):
+    path = new_path(spark, "race")
+    versions.overwrite(spark.range(1), path)
+    stale = versions._numbers(spark, path)
+    versions.overwrite(spark.range(2), path)
+    monkeypatch.setattr(versions, "_numbers", lambda *_: stale)
+    with pytest.raises(RuntimeError, match="another writer"):
+        versions.overwrite(spark.range(3), path)
+    monkeypatch.undo()
+    assert read_current(spark, path).count() == 2
 
 
 def test_runs_are_replaced_and_dropped(spark):
