@@ -356,6 +356,17 @@ started AS (
             f"SELECT BUSINESS_ID, MASTER_PARTICIPANT_ID, FISCAL_YEAR, round({fiscal_score}, 9), "
             f"'fiscal', '2024_01_31_101500' FROM features_f",
         ),
+        "scan_source": query(
+            features(g),
+            f"SELECT {grain(g)}, TERM_NEXT_YEAR FROM features WHERE CAL_YEAR >= 1996 AND OWNERSHIP = 'Private'",
+        ),
+        "publish_source": query(
+            both,
+            f"SELECT BUSINESS_ID, MASTER_PARTICIPANT_ID, CAL_YEAR AS run_year, "
+            f"round({SCORE}, 9) AS PRED_TERM_PROB, 'gregorian' AS calendar FROM features UNION ALL "
+            f"SELECT BUSINESS_ID, MASTER_PARTICIPANT_ID, FISCAL_YEAR, round({fiscal_score}, 9), 'fiscal' "
+            f"FROM features_f",
+        ),
         "publish_explanations": query(
             features(g), f"SELECT {grain(g)}, 0.0::DOUBLE AS residual FROM features"
         ),

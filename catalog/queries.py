@@ -37,6 +37,7 @@ from tenurecast.schema import (
     quoted,
 )
 from tenurecast.session import new_path, staged
+from tenurecast.sources import manifest as manifest_source
 from tenurecast.sources import readers, versions, writers
 from tenurecast.sources.standin import feature_table, table
 
@@ -114,6 +115,28 @@ def scan_pushdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return control.filter(F.col("NAME") == "BUILDING")
 
 
+def scan_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two columns of one ownership's later years, from a source that takes both filters."""
+    path = new_path(spark, "source")
+    rows = feature_table(spark, sf_dir).select(*GREGORIAN.keys, "OWNERSHIP", "SALARY_USD", LABEL)
+    manifest_source.write_manifest(rows.repartitionByRange(GREGORIAN.year), path)
+    df = manifest_source.read_manifest(spark, path, [*GRAIN, "OWNERSHIP", LABEL])
+    return df.filter((F.col(GREGORIAN.year) >= 1996) & (F.col("OWNERSHIP") == "Private")).drop("OWNERSHIP")
+
+
+def publish_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stale publication is replaced by one calendar, then the other is appended, each in one commit."""
+    path = new_path(spark, "publish")
+    for calendar, mode in ((FISCAL, "append"), (GREGORIAN, "overwrite"), (FISCAL, "append")):
+        scored = with_score(stored(spark, sf_dir, calendar, *calendar.grain, "YEAR_PAYMENT"))
+        rows = scored.select(
+            schema.BUSINESS, "MASTER_PARTICIPANT_ID", F.col(calendar.year).alias("run_year"),
+            *rounded(scored, [PROBABILITY], 9), F.lit(calendar.name).alias("calendar"),
+        )
+        manifest_source.write_manifest(rows, path, mode)
+    return manifest_source.read_manifest(spark, path)
+
+
 def tsv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = columns.cast_by_name(feature_table(spark, sf_dir)).withColumns(
         {"CAL_YEAR": F.col("CAL_YEAR").cast("int"), LABEL: F.col(LABEL).cast("int")}
@@ -638,6 +661,8 @@ QUERIES: dict[str, Query] = {
         scan_features,
         scan_features_fiscal,
         scan_pushdown,
+        scan_source,
+        publish_source,
         tsv_roundtrip,
         publish_predictions,
         publish_explanations,
