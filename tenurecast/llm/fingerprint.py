@@ -9,7 +9,8 @@ counts (1 for equal fingerprints, about 0 for unrelated texts).
 
 Null text counts as empty (one empty paragraph). Rows with the same id are neighbours in
 the order of their texts' hashes. A single document is its own next document. A null id
-comes after all others.
+comes after all others. An empty table gives no rows. Very long texts are taken whole, in
+batches by their bytes. Other columns of the input are not read, so their names are free.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -132,7 +134,8 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     """Fingerprint of every text and of its edited text, with both likenesses.
 
     Ids are cut into ranges, one per task; the texts are shuffled once. Only the first text
-    of a range is sent twice: also to the range before, where it is the last one's next.
+    of a range is sent twice: also to the range before, where it is the last one's next. The
+    driver holds one cut and one first id per shuffle partition, nothing per document.
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     least = -(1 << 63)
@@ -141,19 +144,29 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         F.coalesce(F.col(key).cast("long"), F.lit(least)).alias("place"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
-    cuts = sorted({int(x) for x in docs.approxQuantile("place", [k / parts for k in range(1, parts)], 0.2 / parts)}) if parts > 1 else []
-    edges = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<bigint>")
-    # Bucket 0 has the largest ids.
-    dealt = docs.withColumn("bucket", F.size(F.filter(edges, lambda c: c >= F.col("place"))))
-    heads = {r["bucket"]: r["head"] for r in dealt.groupBy("bucket").agg(F.max("place").alias("head")).collect()}
-    order = sorted(heads)
-    before = F.lit(None).cast("int")
-    for k, b in enumerate(order):
-        before = F.when((F.col("bucket") == b) & (F.col("place") == heads[b]), F.lit(order[k - 1])).otherwise(before)
-    homes = F.struct(F.col("bucket").alias("bucket"), F.lit(False).alias("guest"))
-    guest = F.struct(before.alias("bucket"), F.lit(True).alias("guest"))
-    sent = dealt.select("doc_id", "place", "text", F.inline(F.when(before.isNull(), F.array(homes)).otherwise(F.array(homes, guest))))
-    placed = sent.repartitionById(max(1, len(cuts) + 1), F.col("bucket"))
+    cuts = np.array(sorted({int(x) for x in docs.approxQuantile("place", [k / parts for k in range(1, parts)], 0.2 / parts)}), np.int64)
+
+    @F.pandas_udf("int")
+    def bucket_of(place: pd.Series) -> pd.Series:
+        # Bucket 0 has the largest ids.
+        return pd.Series((len(cuts) - np.searchsorted(cuts, place.to_numpy())).astype(np.int32))
+
+    found = docs.select("place").withColumn("bucket", bucket_of("place")).groupBy("bucket").agg(F.max("place").alias("head"))
+    heads = sorted((r["bucket"], r["head"]) for r in found.collect())
+    # The first id of each range that holds a row, from the least, and the range before it (the first follows the last).
+    firsts = np.array([h for _, h in heads][::-1], np.int64)
+    before = np.array([heads[k - 1][0] for k in range(len(heads))][::-1], np.int32)
+
+    @F.pandas_udf("array<int>")
+    def homes_of(place: pd.Series) -> pd.Series:
+        """The row's own range, then the one where it is only the last one's next."""
+        values = place.to_numpy()
+        own = len(cuts) - np.searchsorted(cuts, values)
+        at = np.minimum(np.searchsorted(firsts, values), max(len(firsts) - 1, 0))
+        return pd.Series([[int(o), int(before[i])] if firsts[i] == v else [int(o)] for o, i, v in zip(own, at, values, strict=True)])
+
+    sent = docs.select("doc_id", "place", "text", F.posexplode(homes_of("place")).alias("guest", "bucket"))
+    placed = sent.withColumn("guest", F.col("guest") > 0).repartitionById(len(cuts) + 1, F.col("bucket"))
     ordered = placed.sortWithinPartitions("bucket", "guest", F.desc("place"), F.xxhash64("text"))
     return ordered.select("bucket", "guest", "doc_id", "text").mapInArrow(
         _compare, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"

@@ -182,12 +182,39 @@ def test_fingerprints(spark, small, texts):
         text, after = texts[doc], texts[order[(i + 1) % len(order)]]
         half = len(text) // 2
         edited = text[: len(text) - half] + after[:half]
-        assert got[doc].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        row, (one, new, next_) = got[doc], (tuple(v[0] for v in fingerprint.vectors([t])) for t in (text, edited, after))
+        assert (row.n_chars, row.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
+        assert (row.fingerprint, row.edited_fingerprint) == (fingerprint.written(*one), fingerprint.written(*new))
+        assert row.near_edited == pytest.approx(fingerprint.likeness(one, new), abs=1e-12)
+        assert row.near_next == pytest.approx(fingerprint.likeness(one, next_), abs=1e-12)
+    equal = {}
+    for doc, text in texts.items():
+        assert equal.setdefault(text, got[doc].fingerprint) == got[doc].fingerprint
     a, b, both, mixed = (tuple(v[i] for v in fingerprint.vectors(["a b c d", "x y z", "a b c d\nx y z", "x y z\na b c d"])) for i in range(4))
     assert fingerprint.written(*fingerprint.add(a, b)) == fingerprint.written(*both) == fingerprint.written(*mixed)
     assert fingerprint.written(*fingerprint.remove(both, b)) == fingerprint.written(*a)
 
 
+def test_fingerprints_with_many_partitions(spark):
+    """Ranges as many as shuffle partitions, negative, repeated and null ids among them."""
+    ids = [*range(-300, 500), 7, None]
+    df = spark.createDataFrame([(i, f"text {i} of many") for i in ids], "doc_id long, text string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "600")
+    try:
+        rows = fingerprint.fingerprints(df).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(rows) == len(ids)
+    order = [f"text {i} of many" for i in sorted(range(-300, 500), reverse=True)] + ["text None of many"]
+    nexts = dict(zip(order, order[1:] + order[:1]))
+    for r in rows:
+        text = f"text {r.doc_id} of many"
+        wanted = {text if r.doc_id == 7 else None, nexts[text]}
+        edits = {hashlib.sha256(fingerprint.edited(text, t).encode()).hexdigest() for t in wanted - {None}}
+        assert r.edited_sha256 in edits
+
+
 @pytest.mark.parametrize("unit", ["word ", "the same line again\n"])
 def test_likeness_of_long_repetitive_texts(unit):
     """Counts far above 2**15 do not wrap."""
