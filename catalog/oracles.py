@@ -374,6 +374,20 @@ started AS (
             features(g),
             f"SELECT {grain(g)}, 0.0::DOUBLE AS difference, 0.0::DOUBLE AS residue FROM features",
         ),
+        "run_metrics": query(
+            both,
+            " UNION ALL ".join(
+                f"SELECT '{cal}' AS calendar, 'publish' AS step, 'predictions_{m}' AS metric, "
+                f"CAST({value} AS DOUBLE) AS value FROM (SELECT round({score}, 9) AS score FROM {source})"
+                for cal, source, score in (("gregorian", "features", SCORE), ("fiscal", "features_f", fiscal_score))
+                for m, value in (
+                    ("rows", "count(*)"),
+                    ("unscored", "count(*) - count(score)"),
+                    ("least", "min(score)"),
+                    ("greatest", "max(score)"),
+                )
+            ),
+        ),
         "model_roundtrip": query(
             features(g),
             f"SELECT {grain(g)}, 0.0::DOUBLE AS difference, true AS in_range FROM features",

@@ -223,6 +223,20 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of the published rows, taken by the jobs that publish them."""
+    path, logs = new_path(spark, "measured"), new_path(spark, "log")
+    for calendar in (GREGORIAN, FISCAL):
+        scored = with_score(stored(spark, sf_dir, calendar, *calendar.grain, "YEAR_PAYMENT"))
+        rows = scored.select(*calendar.grain, *rounded(scored, [PROBABILITY], 9))
+        rows, seen = runs.watched(rows, *runs.score_measures())
+        writers.write_run(rows, f"{path}/{calendar.name}", calendar.name, RUN_ID)
+        log = runs.RunLog(calendar.name, RUN_ID)
+        log.add_measures("publish", "predictions", seen)
+        log.save(spark, logs)
+    return spark.read.parquet(logs).select("calendar", "step", "metric", "value")
+
+
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, state = prepared_rows(spark, sf_dir)
     model = forest.fit_forest(rows, state.features, GREGORIAN, numTrees=5, maxDepth=6)
@@ -671,6 +685,7 @@ QUERIES: dict[str, Query] = {
         delete_where,
         delete_partition,
         run_log,
+        run_metrics,
         model_roundtrip,
         state_roundtrip,
         cast_by_name,

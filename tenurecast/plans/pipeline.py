@@ -19,7 +19,7 @@ from ..session import released, staged
 from ..sources import writers
 from ..sources.versions import read_current
 from . import prep
-from .runs import RunLog, drop_expired, reset_row, should_run
+from .runs import RunLog, drop_expired, reset_row, score_measures, should_run, watched
 
 PREDICTION = "prediction"
 
@@ -167,8 +167,9 @@ def run(
 
 
 def _run(spark, df, calendar, out, run_id, settings, training, trained, log) -> Trained | None:
+    df, seen = watched(df, F.count(F.lit(1)).alias("rows"))
     df = staged(df, "input")
-    rows = df.count()
+    rows = seen.get["rows"]
     if rows == 0:
         log.add("load", "no input rows, skipped", "rows", 0)
         return None
@@ -184,11 +185,13 @@ def _run(spark, df, calendar, out, run_id, settings, training, trained, log) ->
         else explained.select(*calendar.grain, PROBABILITY)
     )
     for kind, result in (("predictions", scored), ("explanations", explained)):
-        writers.write_run(result, f"{out}/{kind}_{calendar.name}", calendar.name, run_id)
+        measured, seen = watched(result, *score_measures())
+        writers.write_run(measured, f"{out}/{kind}_{calendar.name}", calendar.name, run_id)
         if settings.delimited:
             name = run_file(kind, calendar.name, run_id)
             writers.write_delimited(result, f"{out}/files/{name}")
         log.add("publish", f"{kind} published")
+        log.add_measures("publish", kind, seen)
     return trained
 
 

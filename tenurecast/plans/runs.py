@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema
@@ -75,6 +75,11 @@ class RunLog:
              None if value is None else float(value), message)
         )
 
+    def add_measures(self, step: str, kind: str, seen: Observation) -> None:
+        """The measures of a written table, as ``kind_measure``."""
+        for name, value in seen.get.items():
+            self.add(step, f"{kind} {name}: {value}", f"{kind}_{name}", value)
+
     def table(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.rows, self.SCHEMA)
 
@@ -90,6 +95,22 @@ class RunLog:
         )
 
 
+def watched(df: DataFrame, *measures: Column) -> tuple[DataFrame, Observation]:
+    """``df`` with measures that the job which writes it takes on the way, without a pass of their own."""
+    seen = Observation()
+    return df.observe(seen, *measures), seen
+
+
+def score_measures(name: str = schema.PROBABILITY) -> list[Column]:
+    """Rows, rows without a score, least and greatest score."""
+    return [
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col(name).isNull()).alias("unscored"),
+        F.min(name).alias("least"),
+        F.max(name).alias("greatest"),
+    ]
+
+
 def marked_runs(
     manifest: DataFrame, as_of: Column, days: int = schema.RETENTION_DAYS, name: str = "name"
 ) -> DataFrame:

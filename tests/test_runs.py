@@ -204,3 +204,31 @@ def test_runs_are_listed_from_their_files(spark):
     ]
     assert runs.listed_runs(spark, new_path(spark, "never")).collect() == []
     assert runs.drop_expired(spark, new_path(spark, "never"), datetime(2024, 1, 31)) == []
+
+
+def test_measures_need_no_job_of_their_own(spark):
+    """The write takes them; an empty table has measures too."""
+    df = spark.createDataFrame([(1, 0.25), (2, None), (3, 0.75)], "k long, PRED_TERM_PROB double")
+
+    def jobs(group, action):
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            action()
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    rows, seen = runs.watched(df, *runs.score_measures())
+    plain = jobs("plain", lambda: writers.write_run(df, new_path(spark, "plain"), "fiscal", "r"))
+
+    def measured():
+        writers.write_run(rows, new_path(spark, "watched"), "fiscal", "r")
+        assert seen.get == {"rows": 3, "unscored": 1, "least": 0.25, "greatest": 0.75}
+
+    assert jobs("watched", measured) == plain
+    empty, seen = runs.watched(df.limit(0), *runs.score_measures())
+    writers.write_run(empty, new_path(spark, "empty"), "fiscal", "r")
+    assert seen.get == {"rows": 0, "unscored": 0, "least": None, "greatest": None}
+    log = runs.RunLog("fiscal", "r")
+    log.add_measures("publish", "predictions", seen)
+    assert [(r[4], r[5]) for r in log.rows][:1] == [("predictions_rows", 0.0)] and log.rows[2][5] is None
