@@ -341,6 +341,35 @@ started AS (
     return {
         "scan_features": query(features(g), f"SELECT {every} FROM features"),
         "scan_features_fiscal": query(features("fiscal"), f"SELECT {every_fiscal} FROM features"),
+        "scan_calendars": query(
+            both,
+            " UNION ALL ".join(
+                f"SELECT '{cal}' AS calendar, {columns.replace(year, year + ' AS YEAR')} FROM {source}"
+                for cal, columns, year, source in (
+                    ("gregorian", every, "CAL_YEAR", "features"),
+                    ("fiscal", every_fiscal, "FISCAL_YEAR", "features_f"),
+                )
+            ),
+        ),
+        "run_all_job": query(
+            both,
+            " UNION ALL ".join(
+                f"SELECT '{cal}' AS calendar, BUSINESS_ID, MASTER_PARTICIPANT_ID, {YEAR[cal]} AS YEAR, true AS in_range, "
+                f"0.0::DOUBLE AS residue, true AS agreed, 'FALSE' AS flag FROM {source}"
+                for cal, source in (("gregorian", "features"), ("fiscal", "features_f"))
+            ),
+        ),
+        "external_training": query(
+            features(g), f"SELECT {grain(g)}, true AS in_range, 0.0::DOUBLE AS difference FROM features"
+        ),
+        "score_only_layout": query(
+            features(g),
+            f"SELECT {grain(g)}, true AS in_range, 0.0::DOUBLE AS residue, false AS shown, true AS other FROM features",
+        ),
+        "wide_forest": query(
+            features(g),
+            f"SELECT {grain(g)}, 500::BIGINT AS n_trees, true AS in_range, 0.0::DOUBLE AS difference FROM features",
+        ),
         "scan_pushdown": (
             "SELECT c_mktsegment AS NAME, c_name AS OWNER, "
             "CASE WHEN c_acctbal >= 0 THEN 'TRUE' ELSE 'FALSE' END AS VALUE "

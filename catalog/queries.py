@@ -39,7 +39,7 @@ from tenurecast.schema import (
 from tenurecast.session import new_path, staged
 from tenurecast.sources import manifest as manifest_source
 from tenurecast.sources import readers, versions, writers
-from tenurecast.sources.standin import feature_table, table
+from tenurecast.sources.standin import all_calendars, calendar_tables, feature_table, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -669,11 +669,106 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out}/predictions_{GREGORIAN.name}")
 
 
+def _in_range(score: Column) -> Column:
+    return F.coalesce(score.between(0.0, 1.0), F.lit(False))
+
+
+def run_all_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scheduled job on both calendars from one scan: every published row, and the flag after it.
+
+    A row's score must be a probability, the same in both published tables, and what its
+    contributions add up to.
+    """
+    out, control = new_path(spark, "job"), new_path(spark, "control")
+    writers.overwrite(spark.createDataFrame([("RUN", "TRUE")], "NAME string, VALUE string"), control)
+    pipeline.run_all(spark, lambda: calendar_tables(spark, sf_dir), control, "RUN", out, AS_OF)
+    flag = versions.read_current(spark, control).filter("NAME = 'RUN'").select(F.col("VALUE").alias("flag"))
+    found = []
+    for calendar in (GREGORIAN, FISCAL):
+        scored = spark.read.parquet(f"{out}/predictions_{calendar.name}")
+        explained = spark.read.parquet(f"{out}/explanations_{calendar.name}")
+        parts = [c for c in explained.columns if c not in (*calendar.grain, PROBABILITY, *writers.RUN_KEYS)]
+        total = reduce(lambda a, b: a + b, [F.col(quoted(c)) for c in parts])
+        sums = explained.select(*calendar.grain, total.alias("total"), F.col(PROBABILITY).alias("again"))
+        both = scored.join(sums, calendar.grain, "full")
+        found.append(
+            both.select(
+                F.lit(calendar.name).alias("calendar"),
+                schema.BUSINESS,
+                schema.PARTICIPANT,
+                F.col(calendar.year).alias("YEAR"),
+                _in_range(F.col(PROBABILITY)).alias("in_range"),
+                (F.round(F.abs(F.col("total") - F.col(PROBABILITY)), 9) + 0.0).alias("residue"),
+                F.coalesce(F.col("again") == F.col(PROBABILITY), F.lit(False)).alias("agreed"),
+            )
+        )
+    return reduce(DataFrame.unionByName, found).join(F.broadcast(flag))
+
+
+def scan_calendars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both calendars' tables from one scan of orders and one of order lines."""
+    return all_calendars(spark, sf_dir)
+
+
+def external_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows scored by a model taught by another table, a delimited file.
+
+    The file holds the labelled rows themselves, so the scores must be those of a model that
+    the rows taught without it.
+    """
+    df = stored(spark, sf_dir)
+    path = new_path(spark, "external")
+    writers.write_delimited(labelled(df), path)
+    external = staged(readers.read_delimited(spark, path, labelled(df).schema), "external")
+    settings = pipeline.Settings(model="tree")
+    scored = pipeline.predict(columns.for_scoring(df), pipeline.train(external, GREGORIAN, settings))
+    own = pipeline.predict(df, pipeline.train(df, GREGORIAN, settings)).withColumnRenamed(PROBABILITY, "own")
+    return scored.join(own, GRAIN, "full").select(
+        *GRAIN,
+        _in_range(F.col(PROBABILITY)).alias("in_range"),
+        (F.round(F.abs(F.col(PROBABILITY) - F.col("own")), 9) + 0.0).alias("difference"),
+    )
+
+
+def score_only_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixed features with the payee count filled from payments, its contribution hidden in ``OTHER``."""
+    df = stored(spark, sf_dir)
+    filled = df.withColumn(schema.PAYEE_COUNT, F.coalesce(schema.PAYEE_COUNT, F.col("YEAR_PAYMENT") / 7))
+    state = prep.fit(filled, GREGORIAN, prep.score_only_features(GREGORIAN), layout="fixed")
+    rows = staged(prep.apply(filled, state), "prepared")
+    trained = pipeline.Trained(state, forest.fit_forest(rows, state.features, GREGORIAN, numTrees=10), {})
+    table_ = pipeline.explain_rows(columns.for_scoring(filled), trained)
+    parts = [c for c in table_.columns if c not in (*GRAIN, PROBABILITY)]
+    total = reduce(lambda a, b: a + b, [F.col(quoted(c)) for c in parts])
+    return table_.select(
+        *GRAIN,
+        _in_range(F.col(PROBABILITY)).alias("in_range"),
+        (F.round(F.abs(total - F.col(PROBABILITY)), 9) + 0.0).alias("residue"),
+        F.lit(schema.PAYEE_COUNT in parts).alias("shown"),
+        F.col(quoted(explain.OTHER)).isNotNull().alias("other"),
+    )
+
+
+def wide_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alternative forest of 500 trees; its votes, tree by tree, must give its score."""
+    rows, state = prepared_rows(spark, sf_dir)
+    model = forest.fit_forest(rows, state.features, GREGORIAN, **forest.WIDE_FOREST)
+    scored = forest.score(rows, model, state.features, GRAIN)
+    voted = explain.tree_votes(rows, model, state.features, GREGORIAN)
+    return scored.join(voted, GRAIN, "full").select(
+        *GRAIN,
+        "n_trees",
+        _in_range(F.col(PROBABILITY)).alias("in_range"),
+        (F.round(F.abs(F.col("votes") / F.col("n_trees") - F.col(PROBABILITY)), 9) + 0.0).alias("difference"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         scan_features,
         scan_features_fiscal,
+        scan_calendars,
         scan_pushdown,
         scan_source,
         publish_source,
@@ -731,5 +826,9 @@ QUERIES: dict[str, Query] = {
         explain_paths,
         explain_paths_checks,
         flagship,
+        run_all_job,
+        external_training,
+        score_only_layout,
+        wide_forest,
     )
 }

@@ -62,6 +62,12 @@ def rename_calendar(df: DataFrame, old: Calendar, new: Calendar) -> DataFrame:
     return df.withColumnsRenamed({old.year: new.year})
 
 
+def one_calendar(df: DataFrame, calendar: Calendar) -> DataFrame:
+    """The rows of one calendar of a table that holds several, its year under its own name."""
+    rows = df.filter(F.col(schema.CALENDAR) == calendar.name).drop(schema.CALENDAR)
+    return rows.withColumnsRenamed({schema.YEAR: calendar.year})
+
+
 def candidate_columns(columns: list[str], calendar: Calendar) -> list[str]:
     """Columns that may become features: no key, description or label."""
     held = {*calendar.keys, *schema.DESCRIPTIVE, schema.LABEL}

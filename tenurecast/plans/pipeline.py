@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -197,7 +198,7 @@ def _run(spark, df, calendar, out, run_id, settings, training, trained, log) ->
 
 def run_all(
     spark: SparkSession,
-    inputs: dict[str, DataFrame],
+    inputs: dict[str, DataFrame] | Callable[[], dict[str, DataFrame]],
     control_path: str,
     flag: str,
     out: str,
@@ -207,18 +208,19 @@ def run_all(
 ) -> list[str]:
     """The scheduled job: gate, every calendar, retention, flag reset.
 
-    Returns the calendars that were published; none if the gate is closed.
+    ``inputs`` may be a function that makes the tables of all calendars; it is called only
+    once the gate is open. Returns the calendars that were published; none if it is closed.
     """
     if not should_run(read_current(spark, control_path), flag, remote=remote):
         return []
     done = []
-    for name, df in inputs.items():
-        if run(spark, df, schema.calendar(name), out, as_of, settings) is not None:
-            done.append(name)
-            for kind in ("predictions", "explanations"):
-                drop_expired(spark, f"{out}/{kind}_{name}", as_of)
-    drop_expired(spark, f"{out}/log", as_of)
     with released(spark):
+        for name, df in (inputs() if callable(inputs) else inputs).items():
+            if run(spark, df, schema.calendar(name), out, as_of, settings) is not None:
+                done.append(name)
+                for kind in ("predictions", "explanations"):
+                    drop_expired(spark, f"{out}/{kind}_{name}", as_of)
+        drop_expired(spark, f"{out}/log", as_of)
         control = read_current(spark, control_path)
         writers.overwrite(writers.upsert(control, reset_row(spark, flag), "NAME"), control_path)
     return done

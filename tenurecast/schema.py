@@ -13,6 +13,10 @@ LABEL = "TERM_NEXT_YEAR"
 PROBABILITY = "PRED_TERM_PROB"
 EXPECTED = "EXPECTED_VALUE"
 
+# Columns of a table that holds several calendars.
+CALENDAR = "calendar"
+YEAR = "YEAR"
+
 DESCRIPTIVE = [
     "HOME_CITY",
     "HOME_STATE_PROVINCE",

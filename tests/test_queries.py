@@ -7,7 +7,7 @@ from catalog.queries import QUERIES
 from tests.oracle_check import compare, connect
 
 # Fits of the full forest are compared by the driver, not in the unit tests.
-SLOW = {"publish_explanations", "chained_impute_checks"}
+SLOW = {"publish_explanations", "chained_impute_checks", "run_all_job", "wide_forest"}
 LAZY = [
     "scan_features",
     "scan_pushdown",
