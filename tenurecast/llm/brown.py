@@ -9,6 +9,12 @@ counts and classes of the latter are Spark tables that grow with the corpus. Wor
 ``LEAST`` and unseen ones are put in one of ``RARE_CLASSES`` by their hash. Only matrices of
 bounded size reach the driver.
 
+Neighbours are counted once: pairs of frequent words, and for every other word the frequent
+words beside it; there, a neighbour that is not frequent stands as its hash class, so while
+classes are searched, two such words side by side count once for each. A turn only maps these
+counts to classes. Texts meet the final classes in one join, from which the transitions of
+the model are counted anew.
+
 Both factors are smoothed: transitions by a share of the class's own frequency, emissions
 by one count for every word of the class and one for an unseen word.
 
@@ -95,20 +101,35 @@ def _stream(column: pa.Array, end: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return ids, np.concatenate([end, ids[:-1]])[: len(ids)], offsets[:-1] // 2
 
 
+def _pairs(f: int, end: np.ndarray):
+    """(a, b, n) of one task's chunks: how often frequent word ``b`` follows frequent word ``a``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, before, _ = _stream(batch.column("ids"), end)
+            both = (ids < f) & (before < f)
+            code, n = np.unique(before[both] * f + ids[both], return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(code // f, pa.int32()), pa.array(code % f, pa.int32()), pa.array(n, pa.int64())], names=["a", "b", "n"]
+            )
+
+    return run
+
+
 def _contexts(classes, kinds: int, total: int):
-    """Sums of one task: left and right class contexts of every id, as one packed row."""
+    """Sums of one task's pairs: left and right class contexts of every id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = classes.value
-        kind = own["class"]
-        right, left = np.zeros(kinds * total, np.int64), np.zeros(kinds * total, np.int64)
-        same = np.zeros(kinds, np.int64)
+        kind = classes.value
+        right, left = np.zeros(kinds * total), np.zeros(kinds * total)
+        same = np.zeros(kinds)
         for batch in batches:
-            ids, before, _ = _stream(batch.column("ids"), own["end"])
-            right += np.bincount(before * total + kind[ids], minlength=kinds * total)
-            left += np.bincount(ids * total + kind[before], minlength=kinds * total)
-            same += np.bincount(ids[ids == before], minlength=kinds)
+            a, b, n = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("a", "b", "n"))
+            right += np.bincount(a * total + kind[b], weights=n, minlength=kinds * total)
+            left += np.bincount(b * total + kind[a], weights=n, minlength=kinds * total)
+            same += np.bincount(a[a == b], weights=n[a == b], minlength=kinds)
         # One row per id and direction, so the sums over tasks are shuffled, not sent whole.
+        right, left, same = (x.astype(np.int64) for x in (right, left, same))
         rows = np.flatnonzero(right.reshape(kinds, total).any(axis=1) | left.reshape(kinds, total).any(axis=1))
         pairs = np.stack([right.reshape(kinds, total)[rows], left.reshape(kinds, total)[rows]], axis=1).reshape(len(rows), 2 * total)
         for at in range(0, len(rows), 4096):
@@ -123,6 +144,22 @@ def _contexts(classes, kinds: int, total: int):
     return run
 
 
+def _transitions(kind: np.ndarray, end: np.ndarray, total: int):
+    """(before, after, n) of one task: its class bigrams."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(total * total, np.int64)
+        for batch in batches:
+            ids, before, _ = _stream(batch.column("ids"), end)
+            sums += np.bincount(kind[before] * total + kind[ids], minlength=total * total)
+        at = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(at // total, pa.int32()), pa.array(at % total, pa.int32()), pa.array(sums[at])], names=["a", "b", "n"]
+        )
+
+    return run
+
+
 def _f(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1))
 
@@ -169,30 +206,31 @@ def likelihood(m: np.ndarray) -> float:
     return float(_f(m).sum() - _f(m.sum(axis=1)).sum() - _f(m.sum(axis=0)).sum())
 
 
-def _neighbours(classes, total: int):
+def _neighbours(f: int, total: int, end: np.ndarray):
     """(word, context, n) of one task's chunks for all words that are not frequent.
 
-    A context is the class after the word, or ``total`` and the class before it.
+    A context is the id after the word, or ``f + total`` and the id before it: that of a
+    frequent word, or one that stands for the hash class of any other.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = classes.value
         for batch in batches:
-            ids, before, starts = _stream(batch.column("ids"), own["end"])
-            kind = own["class"]
+            ids, before, starts = _stream(batch.column("ids"), end)
             rare, place = batch.column("rare"), batch.column("place")
             word = rare.flatten().to_numpy(zero_copy_only=False)
             at = place.flatten().to_numpy(zero_copy_only=False) + np.repeat(starts, np.diff(rare.offsets.to_numpy()))
             # A row ends in the end token, so every other token has one after it.
-            pairs = np.concatenate([kind[ids[at + 1]], total + kind[before[at]]])
+            near = np.concatenate([ids[at + 1], before[at]])
+            near = np.where(near < f, near, f + CLASSES + (near - f) % RARE_CLASSES)
+            near[len(at) :] += f + total
             word = np.concatenate([word, word])
-            order = np.lexsort((pairs, word))
-            word, pairs = word[order], pairs[order]
+            order = np.lexsort((near, word))
+            word, near = word[order], near[order]
             first = np.ones(len(word), bool)
-            first[1:] = (word[1:] != word[:-1]) | (pairs[1:] != pairs[:-1])
+            first[1:] = (word[1:] != word[:-1]) | (near[1:] != near[:-1])
             heads = np.flatnonzero(first)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(word[heads]), pa.array(pairs[heads], pa.int32()), pa.array(np.diff(np.append(heads, len(word))), pa.int64())],
+                [pa.array(word[heads]), pa.array(near[heads], pa.int32()), pa.array(np.diff(np.append(heads, len(word))), pa.int64())],
                 names=["word", "context", "n"],
             )
 
@@ -229,20 +267,23 @@ def _move(shared, total: int, turn: int):
     """All words move in the first turn, half of them, by hash, in each later one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m, kind = shared.value
+        side = np.concatenate([kind, total + kind])
         for batch in batches:
             contexts = batch.column("contexts")
             size = np.diff(contexts.offsets.to_numpy())
             pairs = contexts.flatten()
             sums = np.zeros((batch.num_rows, 2 * total))
             owner = np.repeat(np.arange(batch.num_rows), size)
-            np.add.at(sums, (owner, pairs.field("context").to_numpy(zero_copy_only=False)), pairs.field("n").to_numpy(zero_copy_only=False))
+            near = side[pairs.field("context").to_numpy(zero_copy_only=False)]
+            np.add.at(sums, (owner, near), pairs.field("n").to_numpy(zero_copy_only=False))
             old = batch.column("cls").to_numpy(zero_copy_only=False)
             turns = (batch.column("word").to_numpy(zero_copy_only=False) >> 20) % 2 == turn % 2
             moving = np.flatnonzero(turns | (turn == 0))
             new = old.copy()
             new[moving] = best_classes(m, sums[moving, :total], sums[moving, total:], old[moving], CLASSES)
-            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("c"), pa.array(new, pa.int32())], names=["word", "c", "cls"])
+            names = ["word", "c", "cls", "contexts"]
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("c"), pa.array(new, pa.int32()), contexts], names=names)
 
     return run
 
@@ -304,30 +345,24 @@ def score_texts(docs: DataFrame, held_out, key: str = "doc_id", text: str = "tex
     encoded = docs.mapInArrow(_encode(context.broadcast(known)), "doc_id long, held_out boolean, ids binary, rare array<long>, place array<int>")
     encoded = staged(encoded.select(F.monotonically_increasing_id().alias("row"), "*"), "brown-encoded")
 
-    # Classes: 0 .. CLASSES - 1 by exchange, then the rare ones, then the end. Ids: frequent
-    # words, hashes of others (dealt to all classes until words have their own), and one for
-    # all other words of each class.
+    # Classes: 0 .. CLASSES - 1 by exchange, then the rare ones, then the end. While classes are
+    # searched, ids are those of frequent words, then one for all other words of each class.
     f, total = len(known), CLASSES + RARE_CLASSES + 1
-    other = f + CLASSES
-    kinds = other + CLASSES
+    width = f + total
     end_id = np.searchsorted(known, [END])
     often = np.array([number[int(w)] for w in known], float)
-    kind = np.empty(kinds, np.int64)
+    kind = np.empty(width, np.int64)
     kind[np.argsort(-often, kind="stable")] = np.arange(f) % CLASSES
-    kind[f:other] = np.arange(CLASSES)
-    kind[other:] = np.arange(CLASSES)
+    kind[f:] = np.arange(total)
     kind[end_id] = total - 1
-    fixed = np.zeros(kinds, bool)
+    fixed = np.zeros(width, bool)
     fixed[f:] = fixed[end_id] = True
 
-    def contexts(encoded: DataFrame, kind: np.ndarray):
-        shared = context.broadcast({"class": kind, "end": end_id})
-        rows = encoded.filter(~F.coalesce("held_out", F.lit(False))).select("ids").mapInArrow(
-            _contexts(shared, kinds, total), "id long, same long, context array<long>"
-        )
+    def contexts(pairs: DataFrame, kind: np.ndarray):
+        rows = pairs.mapInArrow(_contexts(context.broadcast(kind), width, total), "id long, same long, context array<long>")
         sums = [F.sum(F.col("context")[i]).alias(f"c{i}") for i in range(2 * total)]
         got = rows.groupBy("id").agg(F.sum("same").alias("same"), *sums).collect()
-        right, left, same = np.zeros((kinds, total), np.int64), np.zeros((kinds, total), np.int64), np.zeros(kinds, np.int64)
+        right, left, same = np.zeros((width, total), np.int64), np.zeros((width, total), np.int64), np.zeros(width, np.int64)
         for r in got:
             values = np.array(r[2:], np.int64)
             right[r[0]], left[r[0]], same[r[0]] = values[:total], values[total:], r[1]
@@ -338,14 +373,14 @@ def score_texts(docs: DataFrame, held_out, key: str = "doc_id", text: str = "tex
         np.add.at(m, kind, right)
         return m
 
-    def exchanged(encoded: DataFrame, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def exchanged(pairs: DataFrame, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Classes of the frequent words after sweeps until settled, and their class bigrams."""
-        right, left, same = contexts(encoded, kind)
+        right, left, same = contexts(pairs, kind)
         best, m = kind, bigrams(right, kind)
         start = likelihood(m)
         for sweep in range(SWEEPS):
             kind = exchange(right, left, same, kind, fixed, CLASSES, sweep % 2)
-            right, left, same = contexts(encoded, kind)
+            right, left, same = contexts(pairs, kind)
             now = bigrams(right, kind)
             if likelihood(now) > likelihood(m):
                 best, m = kind, now
@@ -355,50 +390,66 @@ def score_texts(docs: DataFrame, held_out, key: str = "doc_id", text: str = "tex
                 start = likelihood(m)
         return best, m
 
-    def placed(others: DataFrame, carried: list[str]) -> DataFrame:
-        """Rows with the classes of other words, and what their own counts add."""
-        pair = F.inline(F.arrays_zip(F.col("rare").alias("word"), "place"))
-        met = encoded.select("row", pair).join(others, "word")
-        moved = F.when(F.col("cls") < CLASSES, F.struct("place", "cls"))
-        found = met.groupBy("row").agg(F.count("*").alias("more_known"), F.sum(F.log10(F.col("c") + 1)).alias("gain"), F.collect_list(moved).alias("moved"))
-        names = ["row", "doc_id", "held_out", "ids", "more_known", "gain", *carried]
-        rows = encoded.select("row", "doc_id", "held_out", "ids", *carried).join(found, "row", "left")
-        kinds_of = {"row": "long", "doc_id": "long", "held_out": "boolean", "ids": "binary", "more_known": "long", "gain": "double", "rare": "array<long>", "place": "array<int>"}
-        return rows.mapInArrow(_settle_ids(other, names), ", ".join(f"{c} {kinds_of[c]}" for c in names))
+    def beside(words: DataFrame) -> DataFrame:
+        """The pairs of words with contexts: each word as the id of its class."""
+        flat, mine = words.select("cls", F.inline("contexts")), F.col("cls") + f
+        after = F.col("context") < width
+        a, b = F.when(after, mine).otherwise(F.col("context") - width), F.when(after, F.col("context")).otherwise(mine)
+        return flat.groupBy(a.cast("int").alias("a"), b.cast("int").alias("b")).agg(F.sum("n").alias("n"))
 
     # All other words, in the class that their hash gives until they have one of their own.
     mine = F.broadcast(spark.createDataFrame([(int(np.uint64(w).astype(np.int64)),) for w in known], "word long"))
     bucket = lambda k: F.pmod(F.col("word"), F.lit(k)).cast("int")
     others = counts.join(mine, "word", "left_anti").select("word", F.col("n").alias("c"))
-    growing = others.filter(F.col("c") >= LEAST).withColumn("cls", bucket(CLASSES))
-    alone = others.filter(F.col("c") < LEAST).withColumn("cls", bucket(RARE_CLASSES) + CLASSES)
+    first = F.when(F.col("c") >= LEAST, bucket(CLASSES)).otherwise(bucket(RARE_CLASSES) + CLASSES)
+    others = others.withColumn("cls", first)
+    taught = encoded.filter(~F.coalesce("held_out", F.lit(False)))
+    common_pairs = taught.select("ids").mapInArrow(_pairs(f, end_id), "a int, b int, n long")
+    common_pairs = staged(common_pairs.groupBy("a", "b").agg(F.sum("n").alias("n")), "brown-pairs")
+    near = taught.select("ids", "rare", "place").mapInArrow(_neighbours(f, total, end_id), "word long, context int, n long")
+    near = near.groupBy("word", "context").agg(F.sum("n").alias("n"))
+    near = near.groupBy("word").agg(F.collect_list(F.struct("context", "n")).alias("contexts"))
+    near = staged(others.join(near, "word").select("word", "c", "cls", "contexts"), "brown-contexts")
+    growing, alone = near.filter(F.col("c") >= LEAST), near.filter(F.col("c") < LEAST)
+    settled_pairs = staged(common_pairs.unionByName(beside(alone)), "brown-pairs")
     some = not growing.isEmpty()
-    now, best = encoded, None
+    best = None
     for turn in range(TURNS):
-        if turn == 1 or not some:
-            kind[f:other] = CLASSES + np.arange(CLASSES) % RARE_CLASSES
-        kind, m = exchanged(now, kind)
+        pairs = staged(settled_pairs.unionByName(beside(growing)), "brown-pairs") if some else settled_pairs
+        kind, m = exchanged(pairs, kind)
         value = likelihood(m)
-        if turn > 1 and value <= best[0]:
+        if turn and value <= best[0]:
             break
-        settled = turn > 1 and value - best[0] <= SETTLED * abs(best[0])
+        settled = turn and value - best[0] <= SETTLED * abs(best[0])
         best = (value, kind, growing)
         if settled or not some or turn == TURNS - 1:
             break
-        shared = context.broadcast({"class": kind, "end": end_id})
-        near = now.filter(~F.coalesce("held_out", F.lit(False))).select("ids", "rare", "place").mapInArrow(
-            _neighbours(shared, total), "word long, context int, n long"
+        moved = growing.mapInArrow(
+            _move(context.broadcast((m, kind)), total, turn), "word long, c long, cls int, contexts array<struct<context: int, n: bigint>>"
         )
-        sums = near.repartition("word").groupBy("word", "context").agg(F.sum("n").alias("n"))
-        sums = sums.groupBy("word").agg(F.collect_list(F.struct("context", "n")).alias("contexts"))
-        moves = growing.join(sums, "word").select("word", "c", "cls", "contexts")
-        moves = moves.mapInArrow(_move(context.broadcast(m), total, turn), "word long, c long, cls int")
-        growing = staged(moves, "brown-classes")
-        now = staged(placed(growing.union(alone), ["rare", "place"]), "brown-placed")
+        growing = staged(moved, "brown-contexts")
     _, kind, growing = best
-    others = growing.union(alone)
-    done = staged(placed(others, []), "brown-done")
-    m = bigrams(contexts(done, kind)[0], kind)
+    others = growing.select("word", "c", "cls").unionByName(others.filter(F.col("c") < LEAST))
+
+    # Texts with the classes of all words. Ids: frequent words, hashes of rare and unseen words,
+    # and one for all other words of each class.
+    other = f + CLASSES
+    kinds = other + CLASSES
+    kind = np.concatenate([kind[:f], CLASSES + np.arange(CLASSES) % RARE_CLASSES, np.arange(CLASSES)])
+    pair = F.inline(F.arrays_zip(F.col("rare").alias("word"), "place"))
+    met = encoded.select("row", pair).join(others, "word")
+    own = F.when(F.col("cls") < CLASSES, F.struct("place", "cls"))
+    found = met.groupBy("row").agg(F.count("*").alias("more_known"), F.sum(F.log10(F.col("c") + 1)).alias("gain"), F.collect_list(own).alias("moved"))
+    names = ["row", "doc_id", "held_out", "ids", "more_known", "gain"]
+    rows = encoded.select("row", "doc_id", "held_out", "ids").join(found, "row", "left")
+    done = staged(
+        rows.mapInArrow(_settle_ids(other, names), "row long, doc_id long, held_out boolean, ids binary, more_known long, gain double"),
+        "brown-done",
+    )
+    m = np.zeros((total, total))
+    steps = done.filter(~F.coalesce("held_out", F.lit(False))).select("ids").mapInArrow(_transitions(kind, end_id, total), "a int, b int, n long")
+    for r in steps.groupBy("a", "b").agg(F.sum("n").alias("n")).collect():
+        m[r["a"], r["b"]] = r["n"]
     into = m.sum(axis=0) + 1
     share = into / into.sum()
     step = np.log10((1 - BACKOFF) * (m + share) / (m.sum(axis=1, keepdims=True) + 1) + BACKOFF * share)
