@@ -207,9 +207,9 @@ def likelihood(m: np.ndarray) -> float:
 
 
 def _neighbours(f: int, total: int, end: np.ndarray):
-    """(word, context, n) of one task's chunks for all words that are not frequent.
+    """(word, contexts, ns) of one task's chunks for all words that are not frequent.
 
-    A context is the id after the word, or ``f + total`` and the id before it: that of a
+    A word is one row of a chunk, so it is shuffled once for all its contexts. A context is the id after the word, or ``f + total`` and the id before it: that of a
     frequent word, or one that stands for the hash class of any other.
     """
 
@@ -229,10 +229,12 @@ def _neighbours(f: int, total: int, end: np.ndarray):
             first = np.ones(len(word), bool)
             first[1:] = (word[1:] != word[:-1]) | (near[1:] != near[:-1])
             heads = np.flatnonzero(first)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(word[heads]), pa.array(near[heads], pa.int32()), pa.array(np.diff(np.append(heads, len(word))), pa.int64())],
-                names=["word", "context", "n"],
-            )
+            n = np.diff(np.append(heads, len(word)))
+            word, near = word[heads], near[heads]
+            new = np.flatnonzero(np.diff(word, prepend=~word[:1]) != 0)
+            cuts = pa.array(np.append(new, len(word)), pa.int32())
+            lists = (pa.ListArray.from_arrays(cuts, pa.array(x, pa.int32())) for x in (near, n))
+            yield pa.RecordBatch.from_arrays([pa.array(word[new]), *lists], names=["word", "contexts", "ns"])
 
     return run
 
@@ -298,8 +300,8 @@ def _settle_ids(first: int, names: list[str]):
             moved = batch.column("moved")
             size = np.nan_to_num(pa.compute.list_value_length(moved).to_numpy(zero_copy_only=False)).astype(np.int64)
             pairs = moved.flatten()
-            at = np.repeat(offsets[:-1] // 2, size) + pairs.field("place").to_numpy(zero_copy_only=False)
-            ids[at] = first + pairs.field("cls").to_numpy(zero_copy_only=False)
+            pairs = pairs.to_numpy(zero_copy_only=False)
+            ids[np.repeat(offsets[:-1] // 2, size) + pairs // 256] = first + pairs % 256
             raw = ids.tobytes()
             new = pa.array([raw[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary())
             yield pa.RecordBatch.from_arrays([new if c == "ids" else batch.column(c) for c in names], names=names)
@@ -406,7 +408,10 @@ def score_texts(docs: DataFrame, held_out, key: str = "doc_id", text: str = "tex
     taught = encoded.filter(~F.coalesce("held_out", F.lit(False)))
     common_pairs = taught.select("ids").mapInArrow(_pairs(f, end_id), "a int, b int, n long")
     common_pairs = staged(common_pairs.groupBy("a", "b").agg(F.sum("n").alias("n")), "brown-pairs")
-    near = taught.select("ids", "rare", "place").mapInArrow(_neighbours(f, total, end_id), "word long, context int, n long")
+    near = taught.select("ids", "rare", "place").mapInArrow(_neighbours(f, total, end_id), "word long, contexts array<int>, ns array<int>")
+    # Counted per chunk already, so all that follows shares this one shuffle; no word here has
+    # more than the share FREQUENT of the tokens.
+    near = near.repartition("word").select("word", F.inline(F.arrays_zip(F.col("contexts").alias("context"), F.col("ns").alias("n"))))
     near = near.groupBy("word", "context").agg(F.sum("n").alias("n"))
     near = near.groupBy("word").agg(F.collect_list(F.struct("context", "n")).alias("contexts"))
     near = staged(others.join(near, "word").select("word", "c", "cls", "contexts"), "brown-contexts")
@@ -438,7 +443,8 @@ def score_texts(docs: DataFrame, held_out, key: str = "doc_id", text: str = "tex
     kind = np.concatenate([kind[:f], CLASSES + np.arange(CLASSES) % RARE_CLASSES, np.arange(CLASSES)])
     pair = F.inline(F.arrays_zip(F.col("rare").alias("word"), "place"))
     met = encoded.select("row", pair).join(others, "word")
-    own = F.when(F.col("cls") < CLASSES, F.struct("place", "cls"))
+    # Place and class in one number: classes are fewer than 256.
+    own = F.when(F.col("cls") < CLASSES, F.col("place").cast("long") * 256 + F.col("cls"))
     found = met.groupBy("row").agg(F.count("*").alias("more_known"), F.sum(F.log10(F.col("c") + 1)).alias("gain"), F.collect_list(own).alias("moved"))
     names = ["row", "doc_id", "held_out", "ids", "more_known", "gain"]
     rows = encoded.select("row", "doc_id", "held_out", "ids").join(found, "row", "left")
