@@ -2,8 +2,9 @@
 
 Everything per row is a Spark expression. The list is learned by sequential covering: a
 rule is a conjunction of thresholds, grown on two thirds of the labelled rows by
-information gain, pruned on the other third, kept if it is precise there, and its rows
-removed before the next rule. The ordered rules become one ``CASE WHEN`` expression.
+information gain, pruned on the other third, kept if it is precise there and as many bad rows
+would hardly be taken there by chance, and its rows removed before the next rule; the list
+ends at the first rule that is not kept. The ordered rules become one ``CASE WHEN`` expression.
 
 Null or empty texts have no words and fail the base test; ties in labels make no rule
 precise and the texts stay; without labels the list is empty and only the base test acts.
@@ -25,8 +26,9 @@ SPACE_CHARS = " \t\n\x0b\x0c\r"
 
 #: Labelled rows the list is learned from at most: those whose keys hash lowest.
 TRAINING_ROWS = 20_000
-#: A rule must be right about this share of the rows it takes, and take so many.
-PRECISION, LEAST_ROWS = 0.95, 8
+#: A rule must be right about this share of the rows it takes, and be right so often on the
+#: rows held back that rows drawn at random would be so with at most this probability.
+PRECISION, CHANCE = 0.95, 0.01
 
 
 def let(value: Column, body) -> Column:
@@ -170,15 +172,27 @@ def _best_test(x: dict[str, np.ndarray], bad: np.ndarray) -> Test | None:
     return found
 
 
-def cover(x: dict[str, np.ndarray], bad: np.ndarray, most_rules: int = 12, most_tests: int = 4) -> list[Rule]:
+def by_chance(k: int, n: int, share: float) -> float:
+    """Probability that ``k`` or more of ``n`` rows are bad if each is with probability ``share``."""
+    if not k or share >= 1:
+        return 1.0
+    if share <= 0:
+        return 0.0
+    logs = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, n + 1)))])
+    i = np.arange(k, n + 1)
+    terms = logs[n] - logs[i] - logs[n - i] + i * np.log(share) + (n - i) * np.log1p(-share)
+    return float(np.exp(terms).sum())
+
+
+def cover(x: dict[str, np.ndarray], bad: np.ndarray) -> list[Rule]:
     """Learn ordered rules for the bad class; what no rule takes is good."""
     turn = np.arange(len(bad)) % 3 == 2
     left, rules = np.ones(len(bad), bool), []
-    while len(rules) < most_rules:
+    while bad[left].any():
         grow, prune = left & ~turn, left & turn
         gx = {k: v[grow] for k, v in x.items()}
         gb, rule, taken = bad[grow], [], np.ones(int(grow.sum()), bool)
-        while len(rule) < most_tests and taken.any() and not gb[taken].all():
+        while taken.any() and not gb[taken].all():
             test = _best_test({k: v[taken] for k, v in gx.items()}, gb[taken])
             if test is None:
                 break
@@ -198,7 +212,9 @@ def cover(x: dict[str, np.ndarray], bad: np.ndarray, most_rules: int = 12, most_
         rule = max(options, key=lambda r: (worth(r), -len(r)))
         t = _taken(rule, x, len(bad)) & left
         held = t & turn
-        if held.sum() < LEAST_ROWS or bad[held].mean() < PRECISION or bad[t].mean() < PRECISION:
+        if not held.any() or bad[held].mean() < PRECISION or bad[t].mean() < PRECISION:
+            break
+        if by_chance(int(bad[held].sum()), int(held.sum()), float(bad[left].mean())) > CHANCE:
             break
         rules.append(rule)
         left &= ~t

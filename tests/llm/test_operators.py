@@ -295,6 +295,34 @@ def test_decision_list():
     assert quality.cover(x, np.zeros(3000, bool)) == []
 
 
+def test_quality_rules_at_every_size():
+    """A separable class is found in small tables too; labels by chance teach nothing."""
+    names = ("symbols_per_word", "chars_per_word", "repeat_share")
+    for n in (60, 354, 6000):
+        random = np.random.default_rng(n)
+        x = {k: random.random(n) for k in names}
+        bad = x["symbols_per_word"] > np.sort(x["symbols_per_word"])[-n // 3]
+        rules = quality.cover(x, bad)
+        assert rules and all(r[0].feature == "symbols_per_word" and r[0].above for r in rules)
+        taken = np.any([quality._taken(r, x, n) for r in rules], axis=0)
+        assert (taken == bad).mean() > 0.97
+        assert quality.cover(x, random.random(n) < 0.1) == []
+
+
+def test_by_chance():
+    exact = lambda k, n, p: sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k, n + 1))
+    for k, n, p in ((1, 1, 0.1), (5, 5, 0.076), (3, 9, 0.5), (0, 4, 0.2), (7, 20, 0.3)):
+        assert abs(quality.by_chance(k, n, p) - exact(k, n, p)) < 1e-12
+    assert quality.by_chance(3, 3, 1.0) == 1.0 and quality.by_chance(3, 3, 0.0) == 0.0
+
+
+def test_quality_list_on_given_tables(spark):
+    """The planted symbol rule is learned from the tables of a hundredth."""
+    folder = "/root/testdata/sf0.01"
+    rules = quality.learn(*(spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels")))
+    assert rules and rules[0][0].feature == "symbols_per_word"
+
+
 def brute_components(texts, width, num, den):
     sets = {}
     for doc, text in texts.items():
