@@ -6,11 +6,10 @@ falls by a small factor with each share of its demand that is covered, and each
 knapsack over the capacity, by dynamic programming, finds the fill worth most at these
 prices. Lengths are covered many times over; the sum of the steps, scaled back, is the
 fractional solution, and prices over the best fill's worth bound the program from below.
-The solution is rounded down; what is left is packed by fullest fills and best fit,
-decreasing. Plans by fullest fills or best fit alone are made as well: the fewest sequences
-win, and one of these that meets the bound (tokens / capacity) needs no program. The driver
-sees the histogram only (one number per length), so the plan costs the same for any number
-of documents.
+The solution is rounded to whole copies; what is left is packed by best fit, decreasing, or
+by fullest fills first. Of several roundings of the solution the fewest sequences win; no plan
+is made without it. The driver sees the histogram only (one number per length), so the plan
+costs the same for any number of documents.
 
 Pieces are then ranked within their length, bucket by bucket so that a common length is
 spread over many tasks, and a rank tells sequence and offset by arithmetic.
@@ -46,6 +45,8 @@ ROUNDS, FALL, GAP, DENSE = 3000, 0.1, 0.0005, 192
 PRICED = 24
 #: Rounds of fullest fills, and the share of the tokens that these leave to best fit.
 FULLEST_ROUNDS, UNCOVERED = 3000, 0.05
+#: Shares of the solution's full fills that are tried.
+SHARES = (1.0, 0.5, 0.25, 0.125)
 #: Rows of one length that one task ranks, about.
 RANKED_ROWS = 50_000
 #: Words whose ids a worker remembers (only speed depends on it), and their length at most.
@@ -339,25 +340,41 @@ def _sequences(chosen: list[tuple[Fill, int]]) -> int:
     return sum(copies for _, copies in chosen)
 
 
+def _packed(solution: dict[Fill, float], counts: dict[int, int], capacity: int) -> list[tuple[Fill, int]]:
+    """The solution in whole copies, and fullest fills and best fit for what it leaves.
+
+    Roundings of the fills without free tokens come first, whose rest packs tightly, by smaller
+    and smaller shares, then those of all fills; the fewest sequences win.
+    """
+    least = -(-sum(n * c for n, c in counts.items()) // capacity)
+    full = {f: x for f, x in solution.items() if sum(n * m for n, m in f) == capacity}
+    best: list[tuple[Fill, int]] | None = None
+    for fills, share, ends in [*((full, share, [best_fit]) for share in SHARES if full), (solution, 1.0, [best_fit, _greedy])]:
+        part = {f: x * share for f, x in fills.items()}
+        for up in (True, False):
+            rest = dict(counts)
+            some = _rounded(part, rest, up)
+            rest = {n: c for n, c in rest.items() if c}
+            for end in ends:
+                found = some + end(rest, capacity)
+                if best is None or _sequences(found) < _sequences(best):
+                    best = found
+                if _sequences(best) <= least:
+                    return best
+    return best
+
+
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Fill, int]]:
-    """(fill, copies) that hold every piece of the histogram exactly once."""
+    """(fill, copies) that hold every piece of the histogram exactly once.
+
+    The program is solved for every histogram, also where a plainer plan would do as well.
+    """
     left = {n: c for n, c in counts.items() if c and n < capacity}
     chosen = [(((capacity, 1),), counts[capacity])] if counts.get(capacity) else []
     if not left:
         return chosen
-    least = -(-sum(n * c for n, c in left.items()) // capacity)
-    best = _greedy(left, capacity)
-    if _sequences(best) > least:
-        best = min(best, best_fit(left, capacity), key=_sequences)
-    if _sequences(best) > least:
-        solution, bound = configuration(left, capacity)
-        if _sequences(best) > np.ceil(bound - 1e-6):
-            for up in (False, True):
-                rest = dict(left)
-                some = _rounded(solution, rest, up)
-                rest = {n: c for n, c in rest.items() if c}
-                best = min(best, some + min(_greedy(rest, capacity), best_fit(rest, capacity), key=_sequences), key=_sequences)
-    return chosen + best
+    solution, _ = configuration(left, capacity)
+    return chosen + _packed(solution, left, capacity)
 
 
 def slots(chosen: list[tuple[Fill, int]]) -> dict[str, np.ndarray]:

@@ -100,6 +100,21 @@ def test_plan_of_few_lengths(counts, most):
         assert sum(x * dict(fill).get(n, 0) for fill, x in solution.items()) >= 0.98 * c
 
 
+def test_plan_comes_from_the_program(monkeypatch):
+    """Also where best fit alone meets the bound, fills of the program's solution are used."""
+    random = np.random.default_rng(3)
+    counts = dict(collections.Counter(random.integers(20, 900, 4000).tolist()))
+    bound = math.ceil(sum(n * c for n, c in counts.items()) / 4096)
+    assert sum(c for _, c in packing.best_fit(counts, 4096)) == bound
+    solved = []
+    configuration = packing.configuration
+    monkeypatch.setattr(packing, "configuration", lambda *args: solved.append(configuration(*args)) or solved[-1])
+    chosen = packing.plan(counts)
+    assert len(solved) == 1
+    assert sum(c for _, c in chosen) == bound
+    assert sum(c for fill, c in chosen if fill in solved[0][0]) > bound // 20
+
+
 def test_odd_words_encode_alike():
     path = public_tokenizers.path("word_bpe_49k.json")
     tokenizer = Tokenizer.from_file(path)
