@@ -83,6 +83,14 @@ def test_forest_is_repeatable(rows, state, model):
     assert again.toDebugString.split("\n", 1)[1] == model.toDebugString.split("\n", 1)[1]
 
 
+def test_memory_of_a_pass_is_bounded_and_changes_no_tree(rows, state, model):
+    for settings in (forest.FOREST, forest.WIDE_FOREST, forest.TREE):
+        assert settings["maxMemoryInMB"] <= 64  # in each of four tasks beside each other
+    for most in (1, 1024):
+        other = forest.fit_forest(rows, state.features, GREGORIAN, **QUICK, maxMemoryInMB=most)
+        assert other.toDebugString.split("\n", 1)[1] == model.toDebugString.split("\n", 1)[1]
+
+
 def test_training_rows_are_chosen_by_key(spark):
     df = spark.range(4000).withColumnRenamed("id", "k")
     assert forest.training_rows(df, ["k"]).count() == 4000
