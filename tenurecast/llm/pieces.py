@@ -32,7 +32,7 @@ from tenurecast.llm.common import mix, table
 
 SHARPNESS, SEED = 1.0, 0
 #: Lattice edges that a worker remembers (only speed depends on it).
-_REMEMBERED = 4_000_000
+_REMEMBERED = 8_000_000
 _MARK = "▁"
 _BASE = 0x9E3779B97F4A7C15
 _CHUNK = re.compile(f"\n||{_MARK}+[^{_MARK}\n]*|[^{_MARK}\n]+")
@@ -56,9 +56,11 @@ class Lattice:
         rank = np.array([-model.get_score(i) for i in range(size)])
         self.weight = (-sharpness * np.log(np.maximum(rank, 0) + 1))
         self.byte_weight = -sharpness * math.log(2 * size)
+        # By length, the hashes of all beginnings of pieces; the id of those that are pieces, or -1.
         self.by_length = []
         for n in range(1, max(map(len, self.ids)) + 1):
-            found = sorted((self._hash(p), i) for p, i in self.ids.items() if len(p) == n)
+            heads = {p[:n] for p in self.ids if len(p) >= n}
+            found = sorted((self._hash(p), self.ids.get(p, -1)) for p in heads)
             self.by_length.append((np.array([h for h, _ in found], np.uint64), np.array([i for _, i in found], np.int64)))
         self.raw = [b""] * size
         for p, i in self.ids.items():
@@ -75,11 +77,12 @@ class Lattice:
         return h
 
     def clear(self) -> None:
-        self.first: dict[str, int] = {}  # word -> number of its first state
+        self.last: dict[str, int] = {}  # word -> number of its last state
         self.draw = np.empty(0)  # state + cumulated probability of its edges
-        self.piece = np.empty(0, np.int64)  # id, or -1 - code point for a character in bytes
-        self.back = np.empty(0, np.int64)  # place the edge comes from
-        self.states = 0
+        self.piece = np.empty(0, np.int32)  # id, or -1 - code point for a character in bytes
+        self.source = np.empty(0, np.int32)  # state the edge comes from, -1 at the word's start
+        self.head = np.empty(0, np.int32)  # a state's first edge
+        self.edges = self.states = 0
 
     def add(self, words: list[str]) -> None:
         """Filter new words forward, all at once.
@@ -103,13 +106,13 @@ class Lattice:
             if not len(at):
                 break
             value[at] = value[at] * np.uint64(_BASE) + (points[at + size - 1] + 1).astype(np.uint64)
-            if not len(hashes):
-                continue
             k = np.minimum(np.searchsorted(hashes, value[at]), len(hashes) - 1)
             hit = hashes[k] == value[at]
+            at, k = at[hit], own[k[hit]]  # where no piece begins alike, no longer one does
+            hit = k >= 0
             begins.append(at[hit])
             ends.append(at[hit] + size - 1)
-            ids.append(own[k[hit]])
+            ids.append(k[hit])
             if size == 1:
                 single[at[hit]] = True
         spelled = np.flatnonzero(~single)
@@ -120,7 +123,8 @@ class Lattice:
         code = -1 - piece
         width = 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)
         weight = np.where(piece >= 0, self.weight[np.maximum(piece, 0)], self.byte_weight * width)
-        order = np.lexsort((end, place[end]))
+        order = np.argsort(end, kind="stable")
+        order = order[_by_place(place[end[order]])]
         begin, end, piece, weight = begin[order], end[order], piece[order], weight[order]
         total = np.zeros(n + 1)  # the last entry is the start of every word
         source = np.where(place[begin] > 0, begin - 1, n)
@@ -139,18 +143,20 @@ class Lattice:
         last = np.append(heads[1:], len(end)) - 1
         drawn = (share - before[end]) / (share[last] - before)[end]
         drawn[last] = 1.0
-        self.draw = np.concatenate([self.draw, self.states + end + np.minimum(drawn, 1.0)])
-        self.piece = np.concatenate([self.piece, piece])
-        self.back = np.concatenate([self.back, place[begin]])
-        self.first.update(zip(words, (self.states + starts).tolist(), strict=True))
+        self.draw = _appended(self.draw, self.edges, self.states + end + np.minimum(drawn, 1.0))
+        self.piece = _appended(self.piece, self.edges, piece)
+        self.source = _appended(self.source, self.edges, np.where(place[begin] > 0, self.states + begin - 1, -1))
+        self.head = _appended(self.head, self.states, self.edges + heads)
+        self.last.update(zip(words, (self.states + starts + sizes - 1).tolist(), strict=True))
+        self.edges += len(end)
         self.states += n
 
     def sample(self, texts: list[str], keys: np.ndarray) -> list[np.ndarray]:
         """Piece ids of each text."""
         words = [self._words(t) for t in texts]
-        if len(self.draw) > _REMEMBERED:
+        if self.edges > _REMEMBERED:
             self.clear()
-        new = set().union(*words).difference(self.first) if words else set()
+        new = set().union(*words).difference(self.last) if words else set()
         if new:
             self.add(sorted(new))
         counts = [len(w) for w in words]
@@ -158,23 +164,23 @@ class Lattice:
         if not n:
             return [np.empty(0, np.int32)] * len(texts)
         flat = [w for ws in words for w in ws]
-        state = np.array([self.first[w] for w in flat], np.int64)
-        place = np.array([len(w) for w in flat], np.int64)
+        state = np.array(list(map(self.last.__getitem__, flat)), np.int64)
         row = np.repeat(np.arange(len(texts)), counts)
         number = np.arange(n) - np.repeat(np.cumsum([0, *counts[:-1]]), counts)
         key = mix(keys.astype(np.int64).view(np.uint64))[row] + mix(number.astype(np.uint64))
-        draw, piece, back = self.draw, self.piece, self.back
         active, step, found = np.arange(n), 0, []
         while len(active):
-            at = state[active] + place[active] - 1
-            u = (mix(key[active] + np.uint64(step)) >> np.uint64(11)).astype(float) / (1 << 53)
-            edge = np.searchsorted(draw, at + u, "right")
-            found.append((active, np.full(len(active), step), piece[edge]))
-            place[active] = back[edge]
-            active, step = active[place[active] > 0], step + 1
-        word, steps, ids = (np.concatenate(x) for x in zip(*found, strict=True))
-        order = np.lexsort((-steps, word))
-        word, ids = word[order], ids[order]
+            u = (mix(key + np.uint64(step)) >> np.uint64(11)).astype(float) / (1 << 53)
+            edge = self._drawn(state, u)
+            found.append((active, self.piece[edge]))
+            state = self.source[edge].astype(np.int64)
+            more = np.flatnonzero(state >= 0)
+            active, state, key, step = active[more], state[more], key[more], step + 1
+        sizes = np.bincount(np.concatenate([a for a, _ in found]), minlength=n)
+        word, stops = np.repeat(np.arange(n), sizes), np.cumsum(sizes)
+        ids = np.empty(len(word), np.int64)
+        for step, (active, piece) in enumerate(found, 1):  # drawn from a word's end
+            ids[stops[active] - step] = piece
         odd = np.flatnonzero(ids < 0)
         if len(odd):
             spelled = {c: [self.byte[b] for b in chr(-1 - c).encode()] for c in set(ids[odd].tolist())}
@@ -187,6 +193,16 @@ class Lattice:
             ids, word = expanded, np.repeat(word, sizes)
         return np.split(ids.astype(np.int32), np.searchsorted(row[word], np.arange(1, len(texts))))
 
+    def _drawn(self, state: np.ndarray, u: np.ndarray) -> np.ndarray:
+        """The edge that a number from 0 to 1 draws in each state: the first above it."""
+        at = np.minimum(state + u, np.nextafter(state + 1.0, 0.0))
+        edge = self.head[state].astype(np.int64)
+        below = np.flatnonzero(self.draw[edge] <= at)
+        while len(below):
+            edge[below] += 1
+            below = below[self.draw[edge[below]] <= at[below]]
+        return edge
+
     def _words(self, text: str) -> list[str]:
         if not text:
             return []
@@ -204,6 +220,22 @@ class Lattice:
         return b"".join(map(self.raw.__getitem__, ids)).decode()[1:]
 
 
+def _appended(array: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+    """``more`` after the first ``used`` values, in place as long as there is room."""
+    if used + len(more) > len(array):
+        grown = np.empty(max(used + len(more), 3 * len(array) // 2), array.dtype)
+        grown[:used] = array[:used]
+        array = grown
+    array[used : used + len(more)] = more
+    return array
+
+
+def _by_place(place: np.ndarray) -> np.ndarray:
+    """Stable order by place; words are short, and small numbers sort by their bytes."""
+    small = place.max(initial=0) < 1 << 16
+    return np.argsort(place.astype(np.uint16) if small else place, kind="stable")
+
+
 class _Own(str):
     """A character of the text that must be spelled in bytes; differs from an equal word."""
 

@@ -263,6 +263,25 @@ def test_pieces():
     assert all(abs(drawn[q] / 20000 - math.exp(w) / total) < 0.02 for q, w in weights.items())
 
 
+def test_pieces_remembered():
+    """New words go behind those remembered, which are not copied; every state draws from its own edges."""
+    own = pieces.Lattice(public_tokenizers.path("piece_bpe_32k.model"), pieces.SHARPNESS)
+    texts = [" ".join(f"{w}{k}" for w in ("then", "日本", "x" * 40)) for k in range(200)]
+    before = own.sample(texts, np.arange(200))
+    for k in range(20):  # until the arrays have room
+        own.sample([f"more{k} words{k}"], np.arange(1))
+    draw, piece = own.draw, own.piece
+    own.sample(["yet another text"], np.arange(1))
+    assert own.draw is draw and own.piece is piece
+    states = np.arange(own.states)
+    for u in (0.0, 0.3, 0.999999):
+        expected = np.searchsorted(own.draw[: own.edges], states + u, "right")
+        assert np.array_equal(own._drawn(states, np.full(len(states), u)), expected)
+    last = own._drawn(states, np.full(len(states), 1 - 2.0**-53))  # rounds up to the next state in a plain sum
+    assert np.array_equal(last, np.append(own.head[1 : own.states], own.edges) - 1)
+    assert all(np.array_equal(a, b) for a, b in zip(before, own.sample(texts, np.arange(200)), strict=True))
+
+
 def test_chat_parts(spark):
     parts = [("text", "see ", None, None), ("image", None, "i.png", 2), ("text", " </turn>", None, None), ("audio", None, "a.wav", 10), ("video", None, "v", None)]
     rows = [(1, 0, "user", parts), (1, 1, "assistant", None), (2, None, None, [])]
