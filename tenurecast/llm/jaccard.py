@@ -121,15 +121,10 @@ def _points(width: int, num: int, den: int):
             doc, values = text_sets(data, offsets, width)
             n = np.bincount(doc, minlength=rows)
             at = np.concatenate([[0], np.cumsum(n)])
-            edges = _lower_edges(2 * int(n.max(initial=1)) * den // num, num, den)
             sums = [np.zeros(rows, np.uint64), np.zeros(rows, np.uint64)]
             for k, s in enumerate(sums):
                 np.add.at(s, doc, mix(values + np.uint64(k + 1)))
             vector = np.bincount(doc * GROUPS + (values >> np.uint64(59)).astype(np.int64), minlength=rows * GROUPS)
-            routed = [_routes(int(n[i]), values[at[i] : at[i + 1]], edges, num, den) if n[i] else (np.empty(0, np.uint64), [0, 0]) for i in range(rows)]
-            routes = [r[0] for r in routed]
-            spare = np.array([r[1] for r in routed], np.int32).reshape(-1)
-            cuts = np.concatenate([[0], np.cumsum([len(r) for r in routes])])
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"),
@@ -138,10 +133,35 @@ def _points(width: int, num: int, den: int):
                     longs(sums[0]),
                     longs(sums[1]),
                     pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * GROUPS, pa.int32()), pa.array(vector, pa.int32())),
+                ],
+                names=["doc_id", "version", "n", "f1", "f2", "point"],
+            )
+
+    return run
+
+
+def _routing(width: int, num: int, den: int):
+    """Routes of every text. They are many times a text's point, so they are made again
+    where they are shuffled and are never stored."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, data, offsets in chunks(batches, "text"):
+            rows = part.num_rows
+            doc, values = text_sets(data, offsets, width)
+            n = np.bincount(doc, minlength=rows)
+            at = np.concatenate([[0], np.cumsum(n)])
+            edges = _lower_edges(2 * int(n.max(initial=1)) * den // num, num, den)
+            routed = [_routes(int(n[i]), values[at[i] : at[i + 1]], edges, num, den) if n[i] else (np.empty(0, np.uint64), [0, 0]) for i in range(rows)]
+            routes = [r[0] for r in routed]
+            spare = np.array([r[1] for r in routed], np.int32).reshape(-1)
+            cuts = np.concatenate([[0], np.cumsum([len(r) for r in routes])])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("doc_id"),
                     pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), longs(np.concatenate(routes) if routes else np.empty(0, np.uint64))),
                     pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * 2, pa.int32()), pa.array(spare, pa.int32())),
                 ],
-                names=["doc_id", "version", "n", "f1", "f2", "point", "routes", "spare"],
+                names=["doc_id", "routes", "spare"],
             )
 
     return run
@@ -234,7 +254,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 4, den: int = 5,
     """(doc_id, n_shingles, component_id) per row, linked where Jaccard >= ``num / den``."""
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     docs = docs.withColumn("version", F.xxhash64("text"))
-    schema = "doc_id long, version long, n long, f1 long, f2 long, point array<int>, routes array<long>, spare array<int>"
+    schema = "doc_id long, version long, n long, f1 long, f2 long, point array<int>"
     points = staged(docs.mapInArrow(_points(width, num, den), schema), "jaccard-points")
     same = ["n", "f1", "f2"]
     known = points.filter("n > 0 and doc_id is not null")
@@ -245,7 +265,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 4, den: int = 5,
     members = staged(members.select("doc_id", "node"), "jaccard-members")
 
     band = F.col("route").bitwiseAND(F.lit(1))
-    routed = known.select("doc_id", "spare", F.explode("routes").alias("route"))
+    routes = docs.filter("doc_id is not null").select("doc_id", "text")
+    routes = routes.mapInArrow(_routing(width, num, den), "doc_id long, routes array<long>, spare array<int>")
+    routed = routes.select("doc_id", "spare", F.explode("routes").alias("route"))
     routed = routed.select("doc_id", "route", F.get("spare", band.cast("int")).alias("spare"))
     routed = routed.withColumn("sharers", F.count("*").over(Window.partitionBy("route"))).filter("sharers > 1")
     # The parts that most rows share are left out, as many as a set can spare.

@@ -418,6 +418,24 @@ def test_near_duplicates(spark, monkeypatch, leaf):
     assert got == brute_components(texts, 3, 4, 5)
 
 
+def test_routes_are_never_stored(spark, monkeypatch):
+    """Routes are many times the rest of a text; no stored table holds them, and groups are whole."""
+    stored, staged = {}, jaccard.staged
+
+    def noted(df, label):
+        stored[label] = df.columns
+        return staged(df, label)
+
+    monkeypatch.setattr(jaccard, "staged", noted)
+    words = [f"w{i}" for i in range(60)]
+    texts = {k: " ".join([*words[:k], f"x{k}", *words[k:]]) for k in (5, 20, 40)} | {50: " ".join(words[::-1]), 51: None, 52: "a"}
+    rows = [*texts.items(), (None, " ".join(words))]
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 4, 5).collect()
+    expected = brute_components({k: t or "" for k, t in texts.items()}, 3, 4, 5)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got if r.doc_id is not None} == expected
+    assert stored["jaccard-points"] and not any("route" in c for columns in stored.values() for c in columns)
+
+
 @pytest.mark.parametrize("block", [256, 2])
 def test_leaves_of_settled_subtrees_leave(spark, monkeypatch, block):
     """A group in many leaves, one after the star step, makes no leaf pairs; others do, in blocks."""
