@@ -28,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,7 +38,7 @@ from tenurecast.session import staged
 
 CAPACITY, END_ID = 1024, 0
 #: Rows of one length that one task ranks, about, and texts encoded together.
-RANKED_ROWS, TEXTS = 5_000, 256
+RANKED_ROWS, TEXTS = 5_000, 1_024
 #: Longer units go through the tokenizer itself, whose merges do not slow down with length.
 LONGEST = 200
 #: Units of characters that all Unicode versions know, without odd white space.
@@ -78,27 +79,48 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
-        split = [t.split(" ") for t in texts]
-        starts = [units.pop(0) for units in split]
-        table = self.units.look_up(set().union(*split), self._encode)
+        # Units are told apart by Arrow: only distinct ones become Python strings.
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        cuts = split.offsets.to_numpy().astype(np.int64)
+        distinct = split.flatten().dictionary_encode()
+        names, place = distinct.dictionary.to_pylist(), distinct.indices.to_numpy()
+        table = self.units.look_up(set(names), self._encode)
+        known = [table[n] for n in names]
+        odd = np.array([k is None for k in known], bool)
+        ids = np.frombuffer(b"".join([k or b"" for k in known]), "<u4")
+        sizes = np.array([len(k or b"") // 4 for k in known], np.int64)
+        begins = np.cumsum(sizes) - sizes
+        size = sizes[place]
+        size[cuts[:-1]] = 0  # the first unit of a text has no space before it
+        stops = np.cumsum(size)
+        raw = ids[np.arange(int(stops[-1]) if len(stops) else 0) + np.repeat(begins[place] - stops + size, size)].tobytes()
+        bounds = np.concatenate([[0], 4 * stops])[cuts].tolist()
+        strange = odd[place]
+        strange[cuts[:-1]] = False
+        whole = np.concatenate([[0], np.cumsum(strange)])[cuts]
+        whole = (whole[1:] > whole[:-1]).tolist()
         out = []
-        for text, start, units in zip(texts, starts, split, strict=True):
-            found = list(map(table.__getitem__, units))
-            if None in found or len(start) > LONGEST or not _START.fullmatch(start) or any(s in start for s in self.special):
+        for k, text in enumerate(texts):
+            start = text.partition(" ")[0]
+            if whole[k] or len(start) > LONGEST or not _START.fullmatch(start) or any(s in start for s in self.special):
                 out.append(_raw(self.whole.encode(text, add_special_tokens=False).ids))
             else:
                 first = _raw(self.ranked.encode_to_numpy(start, disallowed_special=())) if start else b""
-                out.append(first + b"".join(found))
+                out.append(first + raw[bounds[k] : bounds[k + 1]])
         return out
 
     def _encode(self, units: list[str]) -> dict[str, bytes | None]:
         """Ids of units after a space, None for those that must not be cut out."""
         found: dict[str, bytes | None] = dict.fromkeys(units)
-        plain = [u for u in units if len(u) <= LONGEST and _PLAIN.fullmatch(u) and not any(s in u for s in self.special)]
+        plain = [u for u in units if len(u) <= LONGEST and _PLAIN.fullmatch(u)]
+        text = " " + " ".join(plain)
+        if any(s in text for s in self.special):
+            plain = [u for u in plain if not any(s in u for s in self.special)]
+            text = " " + " ".join(plain)
         if plain:
-            ids = self.ranked.encode_to_numpy(" " + " ".join(plain), disallowed_special=())
+            ids = self.ranked.encode_to_numpy(text, disallowed_special=())
             ends = np.cumsum(self.sizes[ids])
-            bounds = np.cumsum([len(u.encode()) + 1 for u in plain])
+            bounds = np.cumsum(np.fromiter(map(len, plain if text.isascii() else map(str.encode, plain)), np.int64, len(plain)) + 1)
             stops = np.searchsorted(ends, bounds)
             if not np.array_equal(ends[stops], bounds):
                 raise ValueError("a token reaches across units")

@@ -159,6 +159,24 @@ def test_slack_query(spark, small):
     assert len(got) <= 4 / 3 * sum(-(-t // 1024) for t in {r.doc_id: r.doc_tokens for r in got}.values())
 
 
+def test_slack_units_once():
+    """A unit that occurs often is looked up once; ids are those of the tokenizer."""
+    counted = []
+
+    class Table(dict):
+        def __getitem__(self, unit):
+            counted.append(unit)
+            return dict.__getitem__(self, unit)
+
+    own = slack.Encoder(BYTES)
+    look_up = own.units.look_up
+    own.units.look_up = lambda needed, make: Table(look_up(needed, make))
+    texts = ["a b " * 500] * 20 + ["", " ", "  a", "a  b", "x <|endoftext|> y", "<|endoftext|>", "é\tx \n z", "日本 x", "a 日本", "x" * 500 + " b"]
+    got = own(texts)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [own.whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(counted) < 40 and own([]) == []
+
+
 @pytest.mark.parametrize("capacity, ranked", [(1024, 5000), (16, 2)])
 def test_slack_edges(odd, capacity, ranked):
     got = slack.pack(odd, BYTES, capacity=capacity, ranked_rows=ranked).collect()
