@@ -1,22 +1,26 @@
 """Exact order statistics by a radix search, without sorting a column or holding it in one task.
 
 A double is turned into a whole number that orders like it: its sign, exponent and fraction
-as 64 bits. A wanted rank is searched from the leading bits on: one pass counts the rows of
-every value of the next ``BITS`` bits (summed map-side, so a task sends one row per bit
-pattern at most, however many rows share it), the counts are added up in order, and the
-pattern that holds the rank is followed. A search ends when all rows of its pattern are the
-same value or are few enough to fetch with their counts; 64 bits end it in any case. All
-searches of all columns share their passes.
+as 64 bits, which Arrow batches hold already. A wanted rank is searched from the leading bits
+on: one pass counts the rows of every value of the next ``BITS`` bits (per batch, then summed
+map-side, so a task sends one row per bit pattern at most, however many rows share it), the
+counts are added up in order, and the pattern that holds the rank is followed. A search ends
+when all rows of its pattern are the same value or are few enough to fetch with their counts;
+64 bits end it in any case. All searches of all columns share their passes.
 """
 
 from __future__ import annotations
 
 import math
 import struct
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..schema import quoted
 
@@ -24,7 +28,7 @@ from ..schema import quoted
 BITS = 16
 FETCH_LIMIT = 20_000
 
-_FRACTION, _INFINITE = 52, 2047 << 52
+_INFINITE = 2047 << 52
 
 
 @dataclass(frozen=True)
@@ -37,29 +41,33 @@ class _Search:
     inside: int  # how many rows that are
 
 
-def ordered_bits(df: DataFrame, value: str, out: str) -> DataFrame:
-    """``df`` with a bigint that orders like the double ``value``; -0.0 is 0, NaN above infinity.
+def _whole_numbers() -> Callable[[np.ndarray], np.ndarray]:
+    """Doubles to 64-bit integers that order like them; -0.0 is 0, NaN above infinity.
 
-    Powers of two and quotients by them are exact in doubles, so no bit is lost. The rounded
-    logarithm may be one off, which a comparison with the power mends.
+    A function made here goes to the tasks whole, which need not find this module then.
     """
-    steps = [
-        ("_size", f"abs({value})"),
-        ("_near", "least(greatest(bigint(floor(log2(_size))), -1022L), 1023L)"),
-        ("_power", "pow(2D, _near)"),
-        ("_off", "case when _size < _power then -1L when _size / _power >= 2D then 1L else 0L end"),
-    ]
-    for name, step in steps:
-        df = df.withColumn(name, F.expr(step))
-    part = "_size / (case _off when -1L then _power / 2D when 1L then _power * 2D else _power end)"
-    normal = f"shiftleft(_near + _off + 1023L, {_FRACTION}) + bigint(({part} - 1D) * pow(2D, {_FRACTION}))"
-    small = "bigint(_size * pow(2D, 1000) * pow(2D, 74))"
-    bits = (
-        f"case when isnan({value}) then {_INFINITE + 1}L when _size = double('Infinity') then {_INFINITE}L "
-        f"when _size < pow(2D, -1022) then {small} else {normal} end"
-    )
-    df = df.withColumn(out, F.expr(bits)).drop(*[name for name, _ in steps])
-    return df.withColumn(out, F.expr(f"case when {value} < 0D then -{out} else {out} end"))
+
+    def whole(values: np.ndarray) -> np.ndarray:
+        missing = np.isnan(values)
+        size = np.where(missing, 0.0, np.abs(values)).view(np.int64)
+        bits = np.where(values < 0, -size, size)
+        bits[missing] = _INFINITE + 1
+        return bits
+
+    return whole
+
+
+def ordered_bits(df: DataFrame, value: str, out: str) -> DataFrame:
+    """``df`` with a bigint that orders like the double ``value``, NaN and -0.0 too."""
+    whole = _whole_numbers()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = batch.column(value)
+            bits = pa.array(whole(values.fill_null(0.0).to_numpy(zero_copy_only=False)), mask=values.is_null().to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays([*batch.columns, bits], names=[*batch.schema.names, out])
+
+    return df.mapInArrow(run, StructType([*df.schema.fields]).add(out, "long"))
 
 
 def from_ordered_bits(bits: int) -> float:
@@ -75,30 +83,44 @@ def _slots(searches: list[_Search]) -> dict[tuple[str, int | None], list[_Search
     return slots
 
 
-def _rows_inside(df: DataFrame, slots: dict, depth: int) -> DataFrame:
-    """(slot, bits) of every row that some search still follows."""
-    followed: dict[str, list[int | None]] = {}
-    for column, prefix in sorted(slots, key=lambda s: s[0]):
-        followed.setdefault(column, []).append(prefix)
-    values = ", ".join(f"struct({i} as place, double({quoted(c)}) as value)" for i, c in enumerate(followed))
-    long = df.selectExpr(f"inline(array({values}))").filter("value is not null")
-    long = ordered_bits(long, "value", "bits")
-    order = {key: i for i, key in enumerate(slots)}
-    numbers = ", ".join(f"array({', '.join(str(order[c, p]) for p in prefixes)})" for c, prefixes in followed.items())
-    if depth == 0:
-        return long.select(F.expr(f"array({numbers})[place][0]").alias("slot"), "bits")
-    heads = ", ".join(f"array({', '.join(f'{p}L' for p in prefixes)})" for prefixes in followed.values())
-    long = long.withColumn("at", F.expr(f"array_position(array({heads})[place], shiftright(bits, {64 - depth}))"))
-    return long.filter("at > 0").select(F.expr(f"array({numbers})[place][int(at) - 1]").alias("slot"), "bits")
+def _rows_inside(df: DataFrame, slots: dict, depth: int, step: int | None = None) -> DataFrame:
+    """(slot, bits, most, n) of the rows that some search still follows.
+
+    Rows of a batch that share the next ``step`` bits (by default, all bits) are one row: the
+    least and the greatest of them, and how many they are.
+    """
+    followed: dict[str, list[tuple[int, int | None]]] = {}
+    for slot, (column, prefix) in enumerate(slots):
+        followed.setdefault(column, []).append((slot, prefix))
+    low = 0 if step is None else 64 - depth - step
+    whole = _whole_numbers()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.empty((0, 4), np.int64)]
+            for column, searches in zip(batch.columns, followed.values(), strict=True):
+                bits = whole(column.drop_null().to_numpy(zero_copy_only=False))
+                for slot, prefix in searches:
+                    own = np.sort(bits if prefix is None else bits[bits >> (64 - depth) == prefix])
+                    heads = own >> low
+                    first = np.flatnonzero(np.append(True, heads[1:] != heads[:-1])) if len(own) else np.empty(0, np.int64)
+                    ends = np.append(first[1:], len(own))[: len(first)]
+                    found.append(np.stack([np.full(len(first), slot), own[first], own[ends - 1], ends - first], axis=1))
+            rows = np.concatenate(found)
+            slot, *rest = (np.ascontiguousarray(rows[:, i]) for i in range(4))
+            yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), *map(pa.array, rest)], names=["slot", "bits", "most", "n"])
+
+    values = [F.expr(f"double({quoted(c)})").alias(f"c{i}") for i, c in enumerate(followed)]
+    return df.select(*values).mapInArrow(run, "slot int, bits long, most long, n long")
 
 
 def _narrow(df: DataFrame, searches: list[_Search], bits: int) -> tuple[dict, list[_Search]]:
     """Follow every search by the next bits; resolve those whose rows are all alike."""
     slots, depth = _slots(searches), searches[0].depth
     step = min(bits, 64 - depth)
-    inside = _rows_inside(df, slots, depth)
+    inside = _rows_inside(df, slots, depth, step)
     counts = inside.groupBy("slot", F.shiftright("bits", 64 - depth - step).alias("prefix")).agg(
-        F.count("*").alias("n"), F.min("bits").alias("least"), F.max("bits").alias("most")
+        F.sum("n").alias("n"), F.min("bits").alias("least"), F.max("most").alias("most")
     )
     # At most one row per slot and pattern reaches this window.
     earlier = Window.partitionBy("slot").orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
@@ -122,8 +144,8 @@ def _fetch(df: DataFrame, searches: list[_Search]) -> dict:
     slots = _slots(searches)
     inside = _rows_inside(df, slots, searches[0].depth)
     by_slot: dict[int, list[tuple[int, int]]] = {}
-    for r in inside.groupBy("slot", "bits").count().collect():
-        by_slot.setdefault(r["slot"], []).append((r["bits"], r["count"]))
+    for r in inside.groupBy("slot", "bits").agg(F.sum("n").alias("n")).collect():
+        by_slot.setdefault(r["slot"], []).append((r["bits"], r["n"]))
     found = {}
     for slot, group in enumerate(slots.values()):
         values = sorted(by_slot[slot])

@@ -87,3 +87,19 @@ def test_huge_and_tiny_values(spark):
     known = sorted(x for x in data if x is not None)
     found = values_at_ranks(df, {"x": list(range(8))}, {"x": 8}, bits=14, fetch_limit=0)
     assert [found["x", r] for r in range(8)] == known
+
+
+def test_a_pass_sums_rows_before_they_leave_their_batch(values):
+    """Quantiles of wide tables made one row of every value, 27 a row of features."""
+    searches = [order_stats._Search(c, 0, None, 0, 0, 3000) for c in ("constant", "month")]
+    rows = order_stats._rows_inside(values, order_stats._slots(searches), 0, 16).collect()
+    assert len(rows) <= 6 * (1 + 12)
+    assert [sum(r["n"] for r in rows if r["slot"] == slot) for slot in (0, 1)] == [3000, 3000]
+    assert {(r["bits"], r["most"]) for r in rows if r["slot"] == 0} == {(4616752568008179712, 4616752568008179712)}
+
+
+def test_nan_is_above_infinity(spark):
+    df = spark.createDataFrame([(math.nan,), (1.0,), (math.inf,), (-math.nan,), (None,), (-0.0,)], "x double")
+    found = values_at_ranks(df, {"x": list(range(5))}, {"x": 5}, bits=7, fetch_limit=0)
+    assert [found["x", r] for r in range(3)] == [0.0, 1.0, math.inf]
+    assert math.isnan(found["x", 3]) and math.isnan(found["x", 4])
