@@ -325,3 +325,19 @@ def test_external_training_and_cohort(spark, small, tmp_path):
     )
     assert trained.metrics["auc"] is not None
     assert spark.read.parquet(f"{tmp_path}/predictions_fiscal").count() == fiscal.count()
+
+
+def test_wide_forest_spreads_few_rows_over_few_partitions(rows, state, monkeypatch):
+    """Every partition sends sums of every node of 500 trees, so small inputs get fewer of them."""
+    seen = []
+    usual = forest.fixed_order
+
+    def watched(df, keys, partitions):
+        seen.append((df.count(), partitions))
+        return usual(df, keys, partitions)
+
+    monkeypatch.setattr(forest, "fixed_order", watched)
+    model = forest.fit_wide_forest(rows, state.features, GREGORIAN, numTrees=3, maxDepth=4)
+    assert model.getNumTrees == 3 and model.getFeatureSubsetStrategy() == "log2"
+    assert seen == [(rows.filter(F.col(LABEL).isNotNull()).count(), 8)]
+    assert [forest.wide_partitions(n) for n in (0, 79_195, 100_000, 2_000_000)] == [8, 8, 10, 16]
