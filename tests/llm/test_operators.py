@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import os
 import re
 import zlib
 
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tenurecast.llm import brown, chat, fingerprint, jaccard, language, packing, pieces, quality, queries, secrets, warc
+from tenurecast import session
+from tenurecast.llm import brown, chat, common, fingerprint, jaccard, language, packing, pieces, quality, queries, secrets, warc
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, row string, uid string, n string"
@@ -498,6 +500,73 @@ def test_seldom_words_are_clustered(spark, monkeypatch):
     assert gain > 0.25
 
 
+def two_kinds(spark, rows=300):
+    """Texts of two kinds of seldom words in turn, and two frequent ones."""
+    random = np.random.default_rng(5)
+    texts = []
+    for i in range(rows):
+        a, b = random.integers(0, 60, 20), random.integers(0, 60, 20)
+        texts.append((i, " ".join(f"a{x} the b{y}" if x % 3 else f"a{x} b{y} of" for x, y in zip(a, b, strict=True))))
+    return spark.createDataFrame(texts + [(rows, None), (rows, ""), (None, "a1 the new")], "doc_id long, text string").repartition(3, "doc_id")
+
+
+def test_class_tables_are_deleted(spark, monkeypatch):
+    """Only what the result is read from stays on disk: no tables of tokens, counts and past turns, no shuffles."""
+    folders = []
+
+    def noted(session, label, made=session.new_path):
+        folders.append(made(session, label))
+        return folders[-1]
+
+    monkeypatch.setattr(session, "new_path", noted)
+    monkeypatch.setattr(brown, "new_path", noted, raising=False)
+    monkeypatch.setattr(brown, "FREQUENT", 0.05)
+    before = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    got = brown.score_texts(two_kinds(spark), F.col("doc_id") % 5 == 0)
+    left = {re.sub(r"-[0-9a-f]{12}$", "", os.path.basename(p)) for p in folders if session.folder_exists(spark, p)}
+    assert len(folders) > 5 and left <= {"brown-pairs", "brown-words", "brown-done"}
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == before
+    assert got.count() == 303
+
+
+def test_class_blocks_of_any_size(spark, monkeypatch):
+    """Borders of blocks, of what moves at once and of split counts change no row."""
+    monkeypatch.setattr(brown, "FREQUENT", 0.05)
+    docs = two_kinds(spark)
+
+    def scored():
+        rows = brown.score_texts(docs, F.col("doc_id") % 5 == 0).collect()
+        return sorted(((r.doc_id or -1, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in rows), key=str)
+
+    want = scored()
+    for name, value in {"BLOCK": 3000, "ENTRIES": 64, "SLICE": 16, "WORDS": 7, "MOVED": 5, "MOST": 2}.items():
+        monkeypatch.setattr(brown, name, value)
+    monkeypatch.setattr(brown, "chunks", lambda b, text: common.chunks(b, text, 1000))
+    assert scored() == want
+
+
+def test_best_classes():
+    """Against the likelihood's change worked out word by word."""
+    random = np.random.default_rng(3)
+    classes, total = 6, 9
+    m = random.integers(0, 60, (total, total)).astype(float)
+    m[2] = 0
+    right, left = ((random.integers(0, 9, (400, total)) * (random.random((400, total)) < 0.3)).astype(float) for _ in range(2))
+    old = random.integers(0, total, 400)
+    x = lambda v: max(v, 0) * math.log(max(v, 1))
+    for w, best in enumerate(brown.best_classes(m, right, left, old, classes).tolist()):
+        r, c, gain = right[w], left[w], []
+        for k in range(classes):
+            mine = k == old[w]
+            g = sum(x(max(m[k, j] - mine * r[j], 0) + r[j]) - x(m[k, j] - mine * r[j]) for j in range(total) if r[j])
+            g += sum(x(max(m[j, k] - mine * c[j], 0) + c[j]) - x(m[j, k] - mine * c[j]) for j in range(total) if c[j])
+            for whole, own in ((m[k].sum(), r.sum()), (m[:, k].sum(), c.sum())):
+                rest = max(whole - mine * own, 0)
+                g -= x(rest + own) - x(rest)
+            gain.append(g)
+        assert gain[best] >= max(gain) - 1e-6
+
+
 def test_language(spark, small):
     got = queries.QUERIES["op10_language_id"](spark, small)
     docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "lang")
