@@ -49,10 +49,10 @@ SETTLED, SWEEPS, TURNS = 0.001, 12, 6
 BACKOFF = 0.05
 #: Stands for the end of a text.
 END = np.uint64(0x5EED0F7E47E0D000)
-#: Bytes of text in a block, contexts in a block of words, entries of a slice of sums; words
-#: whose contexts are counted at once, words that move at once, and the largest count of a pair
-#: of 16-bit numbers.
-BLOCK, ENTRIES, SLICE = 8 << 20, 1 << 18, 1 << 14
+#: Bytes of text that are tokenised at once and in a block, contexts in a block of words, entries
+#: of a slice of sums; words whose contexts are counted at once, words that move at once, and the
+#: largest count of a pair of 16-bit numbers.
+CHUNK, BLOCK, ENTRIES, SLICE = 1 << 20, 8 << 20, 1 << 18, 1 << 14
 WORDS, MOVED, MOST = 1 << 16, 1 << 12, (1 << 16) - 1
 BLOCKS = "doc_ids array<long>, held array<boolean>, sizes binary, words binary, ns binary, codes binary"
 CLASSED = "kind int, words binary, c binary, cls binary, sizes binary, contexts binary, ns binary"
@@ -120,7 +120,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _row(doc_ids=_listed(ids), held=_listed(held), sizes=size.astype("<i8"), words=word, ns=n.astype("<i8"), codes=_planes(code))
 
     parts, read = [], 0
-    for part, data, offsets in chunks(batches, "text"):
+    for part, data, offsets in chunks(batches, "text", CHUNK):
         parts.append((part.column("doc_id"), part.column("held_out"), *_tokens(part, data, offsets)))
         read += len(data)
         if read >= BLOCK:
@@ -180,7 +180,7 @@ def _packed(names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield _row(**{c: batch.column(c).to_numpy(zero_copy_only=False).astype("<i8") for c in names})
+                yield _row(**{c: batch.column(c).to_numpy(zero_copy_only=False) for c in names})
 
     return run
 
@@ -194,8 +194,8 @@ def _contexts(classes, width: int, total: int):
         sums, same = np.zeros(width * 2 * total), np.zeros(width)
         for batch in batches:
             for i in range(batch.num_rows):
-                ids, context, n = (_array(batch, c, i, "<i8") for c in ("id", "context", "n"))
-                sums += np.bincount(ids * (2 * total) + side[context], weights=n, minlength=len(sums))
+                ids, context, n = _array(batch, "id", i, "<i4"), _array(batch, "context", i, "<i4"), _array(batch, "n", i, "<i8")
+                sums += np.bincount(ids.astype(np.int64) * (2 * total) + side[context], weights=n, minlength=len(sums))
                 itself = ids == context
                 same += np.bincount(ids[itself], weights=n[itself], minlength=width)
         sums = sums.reshape(width, 2 * total).astype(np.int64)
@@ -339,7 +339,8 @@ def _merged(f: int, total: int):
     """All counts of a word together, from rows sorted by word.
 
     Gives blocks of words that get a class (kind 1), blocks of seldomer ones (kind 0) and the
-    contexts of the latter, summed up by hash class (kind 2, ``c`` holding the slice).
+    contexts of the latter, summed up by hash class (kind 2, ``c`` holding the slice and ``words``
+    the sums).
     """
     width = f + total
 
@@ -399,21 +400,22 @@ def _merged(f: int, total: int):
                 yield block(kind)
         for part in _sliced(alone):
             nothing = np.zeros(0, np.int64)
-            yield _classed(2, nothing, part.column("slot").to_numpy().astype("<i8"), nothing, nothing, _array(part, "at", 0, "<i8"), _array(part, "n", 0, "<i8"))
+            yield _classed(2, _array(part, "n", 0, "<i8"), part.column("slot").to_numpy(), nothing, nothing, _array(part, "at", 0, "<i8"), nothing)
 
     return run
 
 
 def _classed(kind: int, word, c, cls, sizes, context, n) -> pa.RecordBatch:
+    """A block; a word with less than the share FREQUENT of 7e13 tokens has counts of 32 bits."""
     return _row(
-        kind=pa.array([kind], pa.int32()), words=word, c=c.astype("<i8"), cls=cls.astype("u1"), sizes=sizes.astype("<i4"), contexts=context.astype("<i4"), ns=n.astype("<i8")
+        kind=pa.array([kind], pa.int32()), words=word, c=c.astype("<i8"), cls=cls.astype("u1"), sizes=sizes.astype("<i4"), contexts=context.astype("<u2"), ns=n.astype("<u4")
     )
 
 
 def _seldom_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
-            yield _row(slot=pa.array(_array(batch, "c", i, "<i8"), pa.int32()), at=_array(batch, "contexts", i, "<i4").astype("<i8"), n=_array(batch, "ns", i, "<i8"))
+            yield _row(slot=pa.array(_array(batch, "c", i, "<i8"), pa.int32()), at=_array(batch, "contexts", i, "<u2").astype("<i8"), n=_array(batch, "words", i, "<i8"))
 
 
 def _beside(width: int, total: int):
@@ -424,7 +426,7 @@ def _beside(width: int, total: int):
         for batch in batches:
             for i in range(batch.num_rows):
                 cls = np.repeat(_array(batch, "cls", i, "u1").astype(np.int64), _array(batch, "sizes", i, "<i4"))
-                sums += np.bincount(cls * (2 * width) + _array(batch, "contexts", i, "<i4"), weights=_array(batch, "ns", i, "<i8"), minlength=len(sums))
+                sums += np.bincount(cls * (2 * width) + _array(batch, "contexts", i, "<u2"), weights=_array(batch, "ns", i, "<u4"), minlength=len(sums))
         yield from _sliced(sums)
 
     return run
@@ -489,7 +491,7 @@ def _move(shared, total: int, turn: int):
         for batch in batches:
             for i in range(batch.num_rows):
                 word, cls = _array(batch, "words", i, np.uint64), _array(batch, "cls", i, "u1").astype(np.int64)
-                sizes, context, n = _array(batch, "sizes", i, "<i4"), _array(batch, "contexts", i, "<i4"), _array(batch, "ns", i, "<i8")
+                sizes, context, n = _array(batch, "sizes", i, "<i4"), _array(batch, "contexts", i, "<u2"), _array(batch, "ns", i, "<u4")
                 moving = np.ones(len(word), bool) if turn == 0 else (word.view(np.int64) >> 20) % 2 == turn % 2
                 cuts = np.append(0, np.cumsum(sizes))
                 for a in range(0, len(word), MOVED):
@@ -553,14 +555,14 @@ def _settled(f: int):
         at, c = (found.column(x).to_numpy() for x in ("place", "classed"))
         cls, c = c % 64, c // 64
         ids[at[cls < CLASSES]] = f + CLASSES + cls[cls < CLASSES]
-        met, gain = np.zeros(len(ids), np.int64), np.zeros(len(ids))
+        met, gain = np.zeros(len(ids), np.int8), np.zeros(len(ids))
         met[at], gain[at] = 1, np.log10(c + 1.0)
         codes, sizes = _codes(block, 0), _array(block, "sizes", 0, "<i8")
         starts = np.cumsum(sizes) - sizes
         doc_ids, held = (block.column(x)[0].values for x in ("doc_ids", "held"))
         out = _row(
             doc_ids=_listed(doc_ids), held=_listed(held), sizes=sizes, ids=ids[codes],
-            more_known=np.add.reduceat(met[codes], starts), gain=np.add.reduceat(gain[codes], starts),
+            more_known=np.add.reduceat(met[codes], starts, dtype=np.int64), gain=np.add.reduceat(gain[codes], starts),
         )
         return pa.Table.from_batches([out])
 

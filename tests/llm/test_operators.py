@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tenurecast import session
-from tenurecast.llm import brown, chat, common, fingerprint, jaccard, language, packing, pieces, quality, queries, secrets, warc
+from tenurecast.llm import brown, chat, fingerprint, jaccard, language, packing, pieces, quality, queries, secrets, warc
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, row string, uid string, n string"
@@ -539,9 +539,8 @@ def test_class_blocks_of_any_size(spark, monkeypatch):
         return sorted(((r.doc_id or -1, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in rows), key=str)
 
     want = scored()
-    for name, value in {"BLOCK": 3000, "ENTRIES": 64, "SLICE": 16, "WORDS": 7, "MOVED": 5, "MOST": 2}.items():
+    for name, value in {"CHUNK": 1000, "BLOCK": 3000, "ENTRIES": 64, "SLICE": 16, "WORDS": 7, "MOVED": 5, "MOST": 2}.items():
         monkeypatch.setattr(brown, name, value)
-    monkeypatch.setattr(brown, "chunks", lambda b, text: common.chunks(b, text, 1000))
     assert scored() == want
 
 
